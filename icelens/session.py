@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -38,6 +39,11 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return _local_folder()
+
+
+@functools.cache
+def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="icelens-")
 
 
