@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-PERIOD_KEYS = ["season", "game_id", "period"]
+# game first: sorts compare its integer prefix before any text
+PERIOD_KEYS = ["game_id", "period", "season"]
 
 UNBLOCKED = ("goal", "shot-on-goal", "missed-shot")
 ON_GOAL = ("goal", "shot-on-goal")

@@ -15,41 +15,34 @@ from icelens.functions.clock import absolute_second
 from icelens.functions.labels import shot_strength
 
 
-def _hit(mode: str) -> Column:
-    """The interval a second belongs to, from its neighbours on the timeline.
+def _placed(marks: DataFrame, ticks: DataFrame, start: str, end: str, mode: str) -> DataFrame:
+    """Intervals and ticks on one timeline; ``at`` is the start of the interval a row belongs to.
 
-    ``own`` starts at this very second, ``prev`` is the last that started before it,
-    ``head`` the first of the period and ``tail`` the start of the last one.
+    Columns stay flat and numeric comparisons do all the work, so the only costs are one
+    exchange by period and one sort.
     """
-    own, prev, head, sec = F.col("own"), F.col("prev"), F.col("head"), F.col("sec")
-    if mode == "tile":
-        return F.coalesce(prev, own)
-    if mode == "clamp":
-        return F.coalesce(prev, head)
-    if mode == "gap":
-        return (F.when(own.isNotNull(), F.when(prev.e == sec, prev).otherwise(own))
-                .when(prev.isNull(), head)
-                .when((prev.s == F.col("tail")) | (sec < prev.e), prev))
-    raise ValueError(f"unknown mode {mode!r}")
-
-
-def _timeline(marks: DataFrame, asked: DataFrame, kept: list[Column]) -> DataFrame:
-    """One row per distinct second of ``marks`` and ``asked``, with its neighbouring intervals."""
-    merged = (marks.unionByName(asked, allowMissingColumns=True).groupBy(*PERIOD_KEYS, "sec")
-              .agg(F.first("own", ignorenulls=True).alias("own"), *kept))
+    line = (marks.withColumns({"sec": F.col(start).cast("long"), "_s": F.col(start).cast("long"),
+                               "_e": F.col(end).cast("long")})
+            .unionByName(ticks.withColumn("sec", F.col("sec").cast("long")), allowMissingColumns=True))
     period = W.partitionBy(*PERIOD_KEYS).orderBy("sec")
-    before = period.rowsBetween(W.unboundedPreceding, -1)
-    whole = period.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    return merged.withColumns({
-        "prev": F.last("own", ignorenulls=True).over(before),
-        "head": F.first("own", ignorenulls=True).over(whole),
-        "tail": F.max(F.col("own.s")).over(whole),
+    before = period.rangeBetween(W.unboundedPreceding, -1)
+    whole = period.rangeBetween(W.unboundedPreceding, W.unboundedFollowing)
+    line = line.withColumns({
+        "_prev": F.last("_s", ignorenulls=True).over(before),
+        "_prev_end": F.last("_e", ignorenulls=True).over(before),
+        "_own": F.max("_s").over(period.rangeBetween(0, 0)),
+        "_head": F.min("_s").over(whole), "_tail": F.max("_s").over(whole),
     })
-
-
-def _edge(start: str, end: str, carry: tuple) -> Column:
-    return F.struct(F.col(start).cast("long").alias("s"), F.col(end).cast("long").alias("e"),
-                    *[F.col(c) for c in carry]).alias("own")
+    sec, prev, prev_end, own = F.col("sec"), F.col("_prev"), F.col("_prev_end"), F.col("_own")
+    hit = {
+        "tile": F.coalesce(prev, own),
+        "clamp": F.coalesce(prev, F.col("_head")),
+        "gap": (F.when(own.isNotNull(), F.when(prev_end == sec, prev).otherwise(own))
+                .when(prev.isNull(), F.col("_head"))
+                .when((prev == F.col("_tail")) | (sec < prev_end), prev)),
+    }[mode]
+    return (line.withColumn("at", F.coalesce("_s", hit)).where(F.col("at").isNotNull())
+            .drop("_prev", "_prev_end", "_own", "_head", "_tail", "_e"))
 
 
 def locate(ticks: DataFrame, intervals: DataFrame, start: str, end: str, mode: str,
@@ -67,12 +60,11 @@ def locate(ticks: DataFrame, intervals: DataFrame, start: str, end: str, mode: s
     Returns period keys, ``sec``, ``at`` (the interval's start) and the ``carry`` columns.
     Ticks may repeat. Intervals must not overlap within a period.
     """
-    marks = intervals.select(*PERIOD_KEYS, F.col(start).cast("long").alias("sec"), _edge(start, end, carry))
-    asked = ticks.where(F.col("sec").isNotNull()).select(
-        *PERIOD_KEYS, F.col("sec").cast("long").alias("sec"), F.lit(True).alias("tick"))
-    return (_timeline(marks, asked, [F.max("tick").alias("tick")])
-            .where("tick").withColumn("hit", _hit(mode)).where(F.col("hit").isNotNull())
-            .select(*PERIOD_KEYS, "sec", F.col("hit.s").alias("at"), *[F.col(f"hit.{c}") for c in carry]))
+    distinct = ticks.where(F.col("sec").isNotNull()).select(*PERIOD_KEYS, "sec").distinct()
+    line = _placed(intervals.select(*PERIOD_KEYS, start, end, *carry), distinct, start, end, mode)
+    same = W.partitionBy(*PERIOD_KEYS, "at")
+    return (line.withColumns({c: F.max(c).over(same) for c in carry})
+            .where(F.col("_s").isNull()).select(*PERIOD_KEYS, "sec", "at", *carry))
 
 
 def add_sums(intervals: DataFrame, events: DataFrame, measures: dict[str, Column], mode: str,
@@ -80,36 +72,21 @@ def add_sums(intervals: DataFrame, events: DataFrame, measures: dict[str, Column
     """Sum events onto the interval they fall in, apart for its two teams.
 
     ``measures`` maps a name to an aggregate over ``events``; the result has ``a_<name>``
-    and ``b_<name>``. Intervals and per-second sums travel on one timeline and meet in one
-    aggregate, so ``intervals`` is computed once and nothing is joined.
+    and ``b_<name>``. Events are summed per (second, team) first, then travel on the
+    intervals' timeline: ``intervals`` is computed once and nothing is joined.
     """
     per_second = (events.where(F.col("sec").isNotNull())
-                  .groupBy(*PERIOD_KEYS, F.col("sec").cast("long").alias("sec"), "team")
-                  .agg(*[agg.alias(name) for name, agg in measures.items()])
-                  .select(*PERIOD_KEYS, "sec", F.struct("team", *measures).alias("part")))
-    rest = [c for c in intervals.columns if c not in PERIOD_KEYS]
-    marks = intervals.select(*PERIOD_KEYS, F.col(start).cast("long").alias("sec"),
-                             _edge(start, end, ("team_a", "team_b")), F.struct(*rest).alias("body"))
-    line = _timeline(marks, per_second, [F.first("body", ignorenulls=True).alias("body"),
-                                         F.collect_list("part").alias("parts")])
-    line = line.withColumn("hit", F.when(F.size("parts") > 0, _hit(mode)))
-
-    def side(team: str, name: str) -> Column:
-        mine = F.filter("parts", lambda p: p["team"] == F.col(f"hit.{team}"))
-        return F.aggregate(mine, F.lit(0.0), lambda total, p: total + F.coalesce(p[name], F.lit(0)))
-
-    sums = [side(team, name).alias(f"{short}_{name}")
-            for name in measures for short, team in (("a", "team_a"), ("b", "team_b"))]
-    names = [f"{short}_{name}" for name in measures for short in "ab"]
-    placed = line.select(*PERIOD_KEYS, F.explode(F.array(
-        F.struct(F.col("own.s").alias("at"), F.col("body"),
-                 *[F.lit(0.0).alias(n) for n in names]),
-        F.struct(F.col("hit.s").alias("at"), F.lit(None).cast(line.schema["body"].dataType).alias("body"),
-                 *sums))).alias("row")).where(F.col("row.at").isNotNull())
-    return (placed.groupBy(*PERIOD_KEYS, F.col("row.at"))
-            .agg(F.first("row.body", ignorenulls=True).alias("body"),
-                 *[F.sum(f"row.{n}").alias(n) for n in names])
-            .select(*PERIOD_KEYS, "body.*", *names))
+                  .groupBy(*PERIOD_KEYS, "sec", F.col("team").alias("_team"))
+                  .agg(*[agg.alias(f"_{name}") for name, agg in measures.items()]))
+    line = _placed(intervals, per_second, start, end, mode)
+    # Both names are the same on every interval of a period.
+    whole, same = W.partitionBy(*PERIOD_KEYS), W.partitionBy(*PERIOD_KEYS, "at")
+    line = line.withColumns({"_ta": F.max("team_a").over(whole), "_tb": F.max("team_b").over(whole)})
+    sums = {f"{side}_{name}": F.coalesce(F.sum(F.when(F.col("_team") == F.col(f"_t{side}"), F.col(f"_{name}")))
+                                         .over(same), F.lit(0))
+            for name in measures for side in "ab"}
+    return (line.withColumns(sums).where(F.col("_s").isNotNull())
+            .select(*intervals.columns, *sums))
 
 
 def tag_strength(events: DataFrame, stints: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -130,7 +107,7 @@ def tag_strength(events: DataFrame, stints: DataFrame, rules: Rules = DEFAULT_RU
 def attach_shots(stints: DataFrame, shots: DataFrame) -> DataFrame:
     """Add ``a_xg``/``b_xg`` (unblocked shots) and ``a_sog``/``b_sog`` (goals and saves) of each stint."""
     return add_sums(stints, shots.where(F.col("event_type").isin(*UNBLOCKED)), {
-        "xg": F.sum("xg"), "sog": F.count(F.when(F.col("event_type").isin(*ON_GOAL), 1)).cast("double")}, "gap")
+        "xg": F.sum("xg"), "sog": F.count(F.when(F.col("event_type").isin(*ON_GOAL), 1))}, "gap")
 
 
 def attach_xg(stints: DataFrame, shots: DataFrame) -> DataFrame:
@@ -141,40 +118,35 @@ def attach_xg(stints: DataFrame, shots: DataFrame) -> DataFrame:
 def attach_shots_on_goal(stints: DataFrame, shots: DataFrame) -> DataFrame:
     """Add ``a_sog``/``b_sog``: goals and saved shots in each stint."""
     on_goal = shots.where(F.col("event_type").isin(*ON_GOAL))
-    return add_sums(stints, on_goal, {"sog": F.count("*").cast("double")}, "gap")
+    return add_sums(stints, on_goal, {"sog": F.count("*")}, "gap")
 
 
-GAME = ["season", "game_id"]
+GAME = ["game_id", "season"]
 
 
 def attach_score_state(stints: DataFrame, goals: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Goal difference before each stint began, capped, with six up/down indicators a side.
 
     Each stint asks once per team on a (game, team) timeline of goals per second, then the
-    two answers meet again in one aggregate.
+    two answers meet again on the stint.
     """
     def at(sec: str) -> Column:
         return absolute_second(F.col("period"), F.col(sec), rules.period_seconds).cast("long").alias("at")
 
-    rest = [c for c in stints.columns if c not in PERIOD_KEYS]
-    side = F.explode(F.array(F.struct(F.lit("a").alias("side"), F.col("team_a").alias("team")),
-                             F.struct(F.lit("b").alias("side"), F.col("team_b").alias("team"))))
-    asks = (stints.select(*PERIOD_KEYS, at("start_sec"), F.struct(*rest).alias("body"), side.alias("_s"))
-            .select(*PERIOD_KEYS, "at", "_s.*",
-                    F.when(F.col("_s.side") == "a", F.col("body")).alias("body"),
-                    F.col("body.start_sec").alias("start_sec"),
-                    F.lit(0).cast("long").alias("g")))
-    ticks = (goals.where(F.col("sec").isNotNull()).select(*GAME, "team", at("sec"))
-             .groupBy(*GAME, "team", "at").agg(F.count("*").alias("g")))
-    earlier = W.partitionBy(*GAME, "team").orderBy("at").rangeBetween(W.unboundedPreceding, -1)
+    side = F.explode(F.array(F.struct(F.lit("a").alias("_side"), F.col("team_a").alias("_team")),
+                             F.struct(F.lit("b").alias("_side"), F.col("team_b").alias("_team"))))
+    asks = stints.select("*", at("start_sec"), side.alias("_x")).select(*stints.columns, "at", "_x.*")
+    ticks = (goals.where(F.col("sec").isNotNull()).select(*GAME, F.col("team").alias("_team"), at("sec"))
+             .groupBy(*GAME, "_team", "at").agg(F.count("*").alias("_g")))
+    earlier = W.partitionBy(*GAME, "_team").orderBy("at").rangeBetween(W.unboundedPreceding, -1)
     answered = (asks.unionByName(ticks, allowMissingColumns=True)
-                .withColumn("before", F.coalesce(F.sum("g").over(earlier), F.lit(0)))
-                .where(F.col("side").isNotNull()))
-    out = (answered.groupBy(*PERIOD_KEYS, "start_sec")
-           .agg(F.first("body", ignorenulls=True).alias("body"),
-                F.max(F.when(F.col("side") == "a", F.col("before"))).alias("ga"),
-                F.max(F.when(F.col("side") == "b", F.col("before"))).alias("gb"))
-           .select(*PERIOD_KEYS, "body.*", "ga", "gb"))
+                .withColumn("_before", F.coalesce(F.sum("_g").over(earlier), F.lit(0)))
+                .where(F.col("_side").isNotNull()))
+    pair = W.partitionBy(*PERIOD_KEYS, "start_sec")
+    out = (answered.withColumns({
+        "ga": F.max(F.when(F.col("_side") == "a", F.col("_before"))).over(pair),
+        "gb": F.max(F.when(F.col("_side") == "b", F.col("_before"))).over(pair)})
+        .where("_side = 'a'").select(*stints.columns, "ga", "gb"))
     cap = rules.score_cap
     diff = F.least(F.greatest(F.col("ga") - F.col("gb"), F.lit(-cap)), F.lit(cap)).cast("int")
     steps = {"a_score_state": diff, "b_score_state": -diff}

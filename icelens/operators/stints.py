@@ -83,7 +83,7 @@ def lineups(shifts: DataFrame, segs: DataFrame, rules: Rules = DEFAULT_RULES) ->
     """
     seg_cols = segs.columns
     nth = F.dense_rank().over(
-        W.partitionBy(*seg_cols, "team", "is_goalie").orderBy("player_id"))
+        W.partitionBy(*PERIOD_KEYS, "seg_start", "team", "is_goalie").orderBy("player_id"))
     few = (on_ice(shifts, segs, rules).withColumn("_nth", nth)
            .where(F.col("_nth") <= rules.max_skaters + 1))
     side_a, goalie = F.col("team") == F.col("team_a"), F.col("is_goalie")
@@ -107,28 +107,31 @@ def segment_goals(segs: DataFrame, goals: DataFrame) -> DataFrame:
 
     The first segment also owns its own start, the last one everything later.
     """
-    return add_sums(segs, goals, {"goals": F.count("*").cast("double")}, "tile", "seg_start", "seg_end")
+    return add_sums(segs, goals, {"goals": F.count("*")}, "tile", "seg_start", "seg_end")
 
 
 def merge_lineups(lines: DataFrame) -> DataFrame:
-    """Join touching neighbours with the same skaters and the same goalie on/off flags."""
+    """Join touching neighbours with the same skaters and the same goalie on/off flags.
+
+    The first segment's row stands for the whole interval, so its goalie is kept: a swap
+    in goal does not split an interval.
+    """
     order = W.partitionBy(*PERIOD_KEYS).orderBy("seg_start")
     key = F.struct("a_skaters", "a_goalie_on", "b_skaters", "b_goalie_on")
-    same = F.coalesce((F.lag(key).over(order) == key)
-                      & (F.lag("seg_end").over(order) == F.col("seg_start")), F.lit(False))
-    # The first segment's goalie is kept: a swap in goal does not split an interval.
-    first = F.min_by(F.struct("team_a", "a_skaters", "a_goalie_on", "a_goalie_id",
-                              "team_b", "b_skaters", "b_goalie_on", "b_goalie_id"), "seg_start")
+    same = F.coalesce((F.lag("seg_end").over(order) == F.col("seg_start"))
+                      & (F.lag(key).over(order) == key), F.lit(False))
+    island = W.partitionBy(*PERIOD_KEYS, "_island")
     return (lines.withColumn("_new", F.when(same, 0).otherwise(1))
             .withColumn("_island", F.sum("_new").over(order))
-            .groupBy(*PERIOD_KEYS, "_island")
-            .agg(F.min("seg_start").alias("start_sec"), F.max("seg_end").alias("end_sec"),
-                 F.sum("a_goals").cast("long").alias("a_goals"), F.sum("b_goals").cast("long").alias("b_goals"),
-                 first.alias("_f"))
-            .select(*PERIOD_KEYS, "start_sec", "end_sec",
-                    (F.col("end_sec") - F.col("start_sec")).alias("duration"),
-                    "_f.*", "a_goals", "b_goals",
-                    F.size("_f.a_skaters").alias("a_n"), F.size("_f.b_skaters").alias("b_n")))
+            .withColumns({"end_sec": F.max("seg_end").over(island),
+                          "a_goals": F.sum("a_goals").over(island),
+                          "b_goals": F.sum("b_goals").over(island)})
+            .where("_new = 1")
+            .select(*PERIOD_KEYS, F.col("seg_start").alias("start_sec"), "end_sec",
+                    (F.col("end_sec") - F.col("seg_start")).alias("duration"),
+                    "team_a", "a_skaters", "a_goalie_on", "a_goalie_id",
+                    "team_b", "b_skaters", "b_goalie_on", "b_goalie_id", "a_goals", "b_goals",
+                    F.size("a_skaters").alias("a_n"), F.size("b_skaters").alias("b_n")))
 
 
 def build_stints(shifts: DataFrame, goals: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
