@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from icelens.catalog.oracle_stats import STATS_BLOCKS
+from icelens.catalog.oracle_value import VALUE_BLOCKS
 from icelens.sources.league_views import VIEWS
 
 BLOCKS = {
@@ -119,7 +121,7 @@ SELECT *, CASE WHEN NOT opp_g THEN 'EN_for' WHEN NOT own_g THEN 'EN_against'
 
 def assemble(query: str) -> str:
     """``WITH <needed views and blocks>, <query>`` for a text of further CTEs."""
-    blocks = {**VIEWS, **BLOCKS}
+    blocks = {**VIEWS, **BLOCKS, **STATS_BLOCKS, **VALUE_BLOCKS}
     done: dict[str, str] = {}
 
     def visit(text: str) -> None:

@@ -96,17 +96,27 @@ LEFT JOIN (SELECT season, team, COUNT(*) AS goals_for FROM goals_v GROUP BY seas
   ON g.season = s.season AND g.team = s.team""",
     # the first season has no box scores, so its totals come from shifts
     "box_skater_v": """
-SELECT season, game_id, player_id, MIN(team) AS team, SUM(end_sec - start_sec)/60.0 AS toi, COUNT(*) AS shifts
+SELECT season, game_id, player_id, MIN(team) AS team, SUM(end_sec - start_sec)/CAST(60 AS DOUBLE) AS toi, COUNT(*) AS shifts
 FROM clean_v WHERE NOT is_goalie AND season <> '2021-2022' GROUP BY season, game_id, player_id""",
     "box_goalie_v": """
 SELECT season, game_id, player_id, MIN(team) AS team,
- CASE WHEN game_id % 5 = 0 THEN 0.0 ELSE SUM(end_sec - start_sec)/60.0 END AS toi
+ CASE WHEN game_id % 5 = 0 THEN CAST(0 AS DOUBLE) ELSE SUM(end_sec - start_sec)/CAST(60 AS DOUBLE) END AS toi
 FROM clean_v WHERE is_goalie AND season <> '2021-2022' GROUP BY season, game_id, player_id""",
     "goalie_logs_v": """
 SELECT season, game_id, player_id, MIN(team) AS team,
  CASE (player_id + game_id) % 4 WHEN 0 THEN 'W' WHEN 1 THEN 'L' WHEN 2 THEN 'O' END AS result,
  CASE WHEN (player_id + game_id) % 8 = 0 THEN 1 ELSE 0 END AS shutouts
 FROM shifts_v WHERE is_goalie GROUP BY season, game_id, player_id""",
+    # shares of a player's plays, standing in for fitted ratings where SQL has to follow
+    "ratings_v": """
+SELECT season, player_id,
+ SUM(CASE WHEN type = 'goal' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)/COUNT(*) AS evo_rapm,
+ SUM(CASE WHEN type = 'faceoff' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)/COUNT(*) AS evd_rapm,
+ CASE WHEN player_id % 6 = 0 THEN NULL
+      ELSE SUM(CASE WHEN type = 'shot-on-goal' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)/COUNT(*) END AS ppl_rapm,
+ CASE WHEN player_id % 7 = 0 THEN NULL
+      ELSE -SUM(CASE WHEN type = 'penalty' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)/COUNT(*) END AS pkl_rapm
+FROM pbp_v GROUP BY season, player_id""",
     "bios_v": """
 SELECT DISTINCT player_id,
  CASE player_id % 5 WHEN 0 THEN NULL WHEN 1 THEN 'R' ELSE 'L' END AS shoots_catches,
