@@ -23,4 +23,4 @@ def register(name: str, spec: str, sql: str | None = None):
     return wrap
 
 
-from icelens.catalog import intervals, totals, values  # noqa: E402,F401
+from icelens.catalog import ingest, intervals, models, scalars, totals, values  # noqa: E402,F401

@@ -107,6 +107,35 @@ SELECT season, game_id, player_id, MIN(team) AS team,
  CASE (player_id + game_id) % 4 WHEN 0 THEN 'W' WHEN 1 THEN 'L' WHEN 2 THEN 'O' END AS result,
  CASE WHEN (player_id + game_id) % 8 = 0 THEN 1 ELSE 0 END AS shutouts
 FROM shifts_v WHERE is_goalie GROUP BY season, game_id, player_id""",
+    # plays as a feed would carry them, with the gaps a feed has
+    "plays_v": """
+SELECT season, game_id, CAST(FLOOR(seq/64) AS BIGINT) AS doc_no, seq % 64 AS pos, seq AS sort_order,
+ CASE WHEN seq % 53 = 0 THEN NULL
+      WHEN type = 'penalty' THEN CASE seq % 4 WHEN 1 THEN 'hit' WHEN 2 THEN 'giveaway' WHEN 3 THEN 'takeaway' ELSE 'penalty' END
+      WHEN type = 'missed-shot' AND seq % 6 = 0 THEN 'blocked-shot' ELSE type END AS type,
+ CASE WHEN seq % 37 = 0 THEN NULL
+      ELSE CONCAT(LPAD(CAST(CAST(FLOOR(sec/60) AS BIGINT) AS VARCHAR(10)), 3, '0'), ':',
+                  LPAD(CAST(sec % 60 AS VARCHAR(10)), 2, '0')) END AS time,
+ CASE WHEN seq % 31 = 0 THEN NULL ELSE period END AS period,
+ CASE WHEN seq % 41 = 0 THEN 'SO' ELSE 'REG' END AS period_type,
+ CASE WHEN seq % 43 = 0 THEN NULL ELSE team_no END AS team_id,
+ CASE WHEN seq % 43 = 0 THEN NULL ELSE team END AS team,
+ CASE WHEN seq % 47 = 0 THEN NULL ELSE CAST(x AS DOUBLE) END AS x, CAST(y AS DOUBLE) AS y,
+ CASE WHEN x < -25 THEN 'D' WHEN x > 25 THEN 'O' ELSE 'N' END AS zone,
+ CASE seq % 4 WHEN 0 THEN 'wrist' WHEN 1 THEN 'slap' WHEN 2 THEN 'snap' END AS shot_type,
+ CASE WHEN type = 'goal' THEN player_id END AS scoring_player_id,
+ CASE WHEN type IN ('shot-on-goal', 'missed-shot') THEN player_id END AS shooting_player_id,
+ CASE WHEN seq % 17 > 0 AND type IN ('goal', 'shot-on-goal', 'missed-shot') THEN
+  (team_no + 1 - 2*(team_no % 2)) % 8 + 72*CAST(CEIL(150*block_no/CAST(72 AS DOUBLE)) AS BIGINT) END AS goalie_id,
+ CASE WHEN type = 'goal' AND seq % 3 > 0 THEN player_id + 8 END AS assist1_id,
+ CASE WHEN type = 'goal' AND seq % 3 = 2 THEN player_id + 16 END AS assist2_id,
+ CASE WHEN type = 'penalty' AND seq % 19 > 0 THEN player_id END AS committed_by_id,
+ CASE WHEN type = 'penalty' AND seq % 5 > 0 THEN player_id + 1 - 2*(player_id % 2) END AS drawn_by_id,
+ CASE WHEN type = 'penalty' THEN 'minor' END AS penalty_type,
+ CASE WHEN type = 'penalty' AND seq % 8 > 0 THEN 2 + seq % 3 END AS duration,
+ CASE WHEN type = 'penalty' AND seq % 29 > 0 THEN player_id END AS actor_id,
+ CASE WHEN type = 'penalty' AND seq % 3 > 0 THEN player_id + 1 - 2*(player_id % 2) END AS hittee_id
+FROM pbp_v""",
     # shares of a player's plays, standing in for fitted ratings where SQL has to follow
     "ratings_v": """
 SELECT season, player_id,
