@@ -62,7 +62,7 @@ def _(spark, folder):
 @register("ridge_fit_distributed", "feature:l coef:r4")
 def _(spark, folder):
     rows = settle(pooled(spark, folder), "rows")
-    return ridge.fit_distributed(rows, "xg_for", CONTEXT, 10.0, RULES)
+    return ridge.fit_distributed(rows, "xg_for", CONTEXT, 10.0, rules=RULES)
 
 
 RATED = "season player_id:l evo_rapm:r4 evd_rapm:r4 ppl_rapm:r4 pkl_rapm:r4"

@@ -62,7 +62,7 @@ def secs(t: str) -> str:
 FEATURE_SQL = f"""
 SELECT * EXCLUDE (prior_event_type, shot_type), CAST(COALESCE(abs(x) > 89, FALSE) AS INT) AS behind_net, elapsed AS prior_event_elapsed,
  CASE WHEN known THEN distance - {dist('prior_event_x', 'prior_event_y')} END AS distance_change,
- CASE WHEN known AND elapsed > 0 THEN LEAST(50, travel/elapsed) END AS shot_speed,
+ CASE WHEN known AND elapsed > 0 AND travel IS NOT NULL THEN LEAST(50, travel/elapsed) END AS shot_speed,
  CAST(COALESCE(known AND prior_event_type IN ('goal', 'shot-on-goal', 'missed-shot', 'blocked-shot') AND elapsed <= 3, FALSE) AS INT) AS is_rebound,
  CAST(COALESCE(known AND elapsed <= 5 AND travel >= 40, FALSE) AS INT) AS is_rush,
  CAST(COALESCE(known AND sign(y) <> sign(prior_event_y) AND y <> 0 AND prior_event_y <> 0, FALSE) AS INT) AS crossed_royal_road,

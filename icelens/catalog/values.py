@@ -131,8 +131,8 @@ def _(spark, folder):
     return rankings.qualify_goalies(goalie_table(league(spark, folder)), league(spark, folder)("schedule_v"), RULES)
 
 
-def score_spec(kind: str) -> str:
-    return " ".join(f"{a}_score:r5" for a in SCORES[kind])
+def score_spec(kind: str, digits: int = 6) -> str:
+    return " ".join(f"{a}_score:r{digits}" for a in SCORES[kind])
 
 
 def rank_spec(attrs) -> str:
@@ -235,7 +235,7 @@ def _(spark, folder):
     return rankings.yearly_ranking(settle(rounded(bench.goalie_scores(bench.goalies())), "scores"))
 
 
-@register("weighted_ranking", "season player_id:l position all_players:l " + score_spec("skater") + " "
+@register("weighted_ranking", "season player_id:l position all_players:l " + score_spec("skater", 9) + " "
           + rank_spec(SCORES["skater"]), ranked_sql("(SELECT season, player_id, position, "
           + ", ".join(f"ROUND({a}_score, 6) AS {a}_score" for a in SCORES["skater"])
           + f" FROM ({weighted_sql('skater_round_o', SCORES['skater'])}))", SCORES["skater"]))
