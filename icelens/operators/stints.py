@@ -57,47 +57,79 @@ def segments(shifts: DataFrame) -> DataFrame:
     return boundary_segments(shifts).join(two_team_periods(shifts), PERIOD_KEYS)
 
 
-def on_ice(shifts: DataFrame, segs: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """One row per (segment, shift covering it).
+def presence(shifts: DataFrame, who: list[str]) -> DataFrame:
+    """Disjoint intervals during which ``who`` (columns besides the period keys) is on the ice.
 
-    A segment lies inside every shift that covers its start, so it is looked up only in
-    the time slice of its start, while a shift is repeated for each slice it touches.
+    Overlapping and touching shifts are joined, so everyone counts once at any moment.
+    Shifts with the same start are reduced first: a group has at most one row per second.
+    """
+    keys = [*PERIOD_KEYS, *who]
+    order = W.partitionBy(*keys).orderBy("start_sec")
+    reach = F.max("end_sec").over(order.rowsBetween(W.unboundedPreceding, -1))
+    return (shifts.groupBy(*keys, "start_sec").agg(F.max("end_sec").alias("end_sec"))
+            .withColumn("_new", F.when(F.col("start_sec") <= reach, 0).otherwise(1))
+            .withColumn("_run", F.sum("_new").over(order))
+            .groupBy(*keys, "_run").agg(F.min("start_sec").alias("start_sec"), F.max("end_sec").alias("end_sec"))
+            .drop("_run"))
+
+
+def on_ice(present: DataFrame, segs: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """One row per (segment, presence interval covering it).
+
+    A segment lies inside every interval that covers its start, so it is looked up only in
+    the time slice of its start, while an interval is repeated for each slice it touches.
     """
     width = rules.slice_seconds
-    sliced = shifts.select(
-        *PERIOD_KEYS, "player_id", "team", "is_goalie", "start_sec", "end_sec",
-        F.explode(F.sequence(F.floor(F.col("start_sec") / width),
-                             F.floor((F.col("end_sec") - 1) / width))).alias("_slice"))
+    sliced = present.withColumn("_slice", F.explode(F.sequence(
+        F.floor(F.col("start_sec") / width), F.floor((F.col("end_sec") - 1) / width))))
     placed = segs.withColumn("_slice", F.floor(F.col("seg_start") / width))
     return (placed.join(sliced, [*PERIOD_KEYS, "_slice"])
             .where((F.col("start_sec") <= F.col("seg_start")) & (F.col("end_sec") > F.col("seg_start")))
             .drop("_slice", "start_sec", "end_sec"))
 
 
+def _sided_presence(shifts: DataFrame) -> DataFrame:
+    """Presence of each player for team a (``in_a``) or team b in the two-team periods."""
+    sided = (shifts.join(two_team_periods(shifts), PERIOD_KEYS)
+             .select(*PERIOD_KEYS, (F.col("team") == F.col("team_a")).alias("in_a"), "is_goalie", "player_id",
+                     "start_sec", "end_sec"))
+    return presence(sided, ["in_a", "is_goalie", "player_id"])
+
+
+def count_skaters(segs: DataFrame, present: DataFrame) -> DataFrame:
+    """Add ``a_n``/``b_n``: skaters of each side, by a running sum of arrivals and departures."""
+    skaters = present.where("not is_goalie")
+    moves = skaters.select(*PERIOD_KEYS, F.explode(F.array(
+        F.struct(F.col("start_sec").alias("seg_start"), F.lit(1).alias("by")),
+        F.struct(F.col("end_sec").alias("seg_start"), F.lit(-1).alias("by")))).alias("_m"), "in_a")
+    per_second = moves.groupBy(*PERIOD_KEYS, "_m.seg_start").agg(
+        F.sum(F.when(F.col("in_a"), F.col("_m.by"))).alias("_a"), F.sum(F.when(~F.col("in_a"), F.col("_m.by"))).alias("_b"))
+    # Every arrival and departure is a shift boundary, so it lands on a segment's start.
+    so_far = W.partitionBy(*PERIOD_KEYS).orderBy("seg_start").rowsBetween(W.unboundedPreceding, 0)
+    return (segs.join(per_second, [*PERIOD_KEYS, "seg_start"], "left")
+            .withColumns({"a_n": F.coalesce(F.sum("_a").over(so_far), F.lit(0)).cast("int"),
+                          "b_n": F.coalesce(F.sum("_b").over(so_far), F.lit(0)).cast("int")}).drop("_a", "_b"))
+
+
 def lineups(shifts: DataFrame, segs: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Who is on the ice in each segment; sides of 0 or more than six skaters are dropped.
 
-    Only the first seven distinct players of a side are kept before collecting: seven
-    already prove that the segment is out of bounds, so the arrays stay small for any
-    input and the result is exact.
+    Skaters are counted first, by a sweep over the clock. Only segments within bounds meet
+    the players, so the arrays collected here never hold more than six entries.
     """
-    seg_cols = segs.columns
-    nth = F.dense_rank().over(
-        W.partitionBy(*PERIOD_KEYS, "seg_start", "team", "is_goalie").orderBy("player_id"))
-    few = (on_ice(shifts, segs, rules).withColumn("_nth", nth)
-           .where(F.col("_nth") <= rules.max_skaters + 1))
-    side_a, goalie = F.col("team") == F.col("team_a"), F.col("is_goalie")
+    present = _sided_presence(shifts)
+    bounds = [F.col(n).between(1, rules.max_skaters) for n in ("a_n", "b_n")]
+    usable = count_skaters(segs.drop("is_first", "is_last"), present).where(bounds[0] & bounds[1])
+    in_a, goalie = F.col("in_a"), F.col("is_goalie")
 
     def skaters(side: Column) -> Column:
-        return F.array_sort(F.collect_set(F.when(side & ~goalie, F.col("player_id"))))
-
-    out = few.groupBy(*seg_cols).agg(
-        skaters(side_a).alias("a_skaters"), skaters(~side_a).alias("b_skaters"),
-        F.min(F.when(side_a & goalie, F.col("player_id"))).alias("a_goalie_id"),
-        F.min(F.when(~side_a & goalie, F.col("player_id"))).alias("b_goalie_id"))
-    return (out
-            .where(F.size("a_skaters").between(1, rules.max_skaters)
-                   & F.size("b_skaters").between(1, rules.max_skaters))
+        return F.array_sort(F.collect_list(F.when(side & ~goalie, F.col("player_id"))))
+
+    return (on_ice(present, usable, rules).groupBy(*PERIOD_KEYS, "seg_start", *[
+                c for c in usable.columns if c not in (*PERIOD_KEYS, "seg_start")])
+            .agg(skaters(in_a).alias("a_skaters"), skaters(~in_a).alias("b_skaters"),
+                 F.min(F.when(in_a & goalie, F.col("player_id"))).alias("a_goalie_id"),
+                 F.min(F.when(~in_a & goalie, F.col("player_id"))).alias("b_goalie_id"))
             .withColumns({"a_goalie_on": F.col("a_goalie_id").isNotNull(),
                           "b_goalie_on": F.col("b_goalie_id").isNotNull()}))
 
@@ -130,8 +162,7 @@ def merge_lineups(lines: DataFrame) -> DataFrame:
             .select(*PERIOD_KEYS, F.col("seg_start").alias("start_sec"), "end_sec",
                     (F.col("end_sec") - F.col("seg_start")).alias("duration"),
                     "team_a", "a_skaters", "a_goalie_on", "a_goalie_id",
-                    "team_b", "b_skaters", "b_goalie_on", "b_goalie_id", "a_goals", "b_goals",
-                    F.size("a_skaters").alias("a_n"), F.size("b_skaters").alias("b_n")))
+                    "team_b", "b_skaters", "b_goalie_on", "b_goalie_id", "a_goals", "b_goals", "a_n", "b_n"))
 
 
 def build_stints(shifts: DataFrame, goals: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
