@@ -21,17 +21,18 @@ def resolve_names(reports: DataFrame, roster: DataFrame, overrides: DataFrame) -
     Tiers: exact name and team; known overrides; a name unique over all teams; the
     last name, unique in the team, else unique overall. ``reports``: season, team,
     report_name, report_last_name and anything else; ``roster``: season, team, player_id,
-    player; ``overrides``: key, team, player_id. Distinct names are resolved once and joined
-    back; each lookup has one row per key.
+    player; ``overrides``: key, team, player_id. Each lookup has one row per key.
     """
     season = ["season"]
     # One listing per (name, team): the smallest id stands for it, as for any duplicate.
     people = (roster.withColumn("key", name_key(F.col("player")))
               .groupBy(*season, "team", "key").agg(F.min(F.struct("player_id", "player")).alias("_p"))
               .select(*season, "team", "key", "_p.*"))
-    names = (reports.groupBy(*season, "team", name_key(F.col("report_name")).alias("key"))
-             .agg(F.min("report_last_name").alias("last_name"))
-             .withColumn("last_key", F.nullif(name_key(F.col("last_name")), F.lit(""))))
+    # Keys are worked out once per spelling, and the answer joins back by spelling.
+    spelled = (reports.groupBy(*season, "team", "report_name").agg(F.min("report_last_name").alias("last_name"))
+               .withColumns({"key": name_key(F.col("report_name")), "last_key": name_key(F.col("last_name"))}))
+    names = (spelled.groupBy(*season, "team", "key").agg(F.min_by("last_key", "last_name").alias("last_key"))
+             .withColumn("last_key", F.nullif("last_key", F.lit(""))))
     # Every suffix of a name's words, so that last names of several words match too.
     words = F.split("key", " ")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(words)),
@@ -50,5 +51,6 @@ def resolve_names(reports: DataFrame, roster: DataFrame, overrides: DataFrame) -
         F.col("_forced").alias("player_id"), F.coalesce("_name", F.col("_forced").cast("string")).alias("player")))
     hit = F.coalesce("t1", override, "t2", "t3", "t4")
     placed = found.withColumn("_hit", hit).where(F.col("_hit").isNotNull()).select(*season, "team", "key", "_hit")
-    return (reports.withColumn("key", name_key(F.col("report_name"))).join(placed, [*season, "team", "key"])
-            .select(*reports.columns, "_hit.player", "_hit.player_id"))
+    answers = (spelled.join(placed, [*season, "team", "key"])
+               .select(*season, "team", "report_name", "_hit.player", "_hit.player_id"))
+    return reports.join(answers, [*season, "team", "report_name"]).select(*reports.columns, "player", "player_id")
