@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icelens.llm import quality, simhash
+from icelens.llm import decontaminate, mixture, quality, simhash
 from icelens.llm.common import table
 
 QUERIES = {}
@@ -29,3 +29,14 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op2_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.classes(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.flagged(docs, table(spark, folder, "benchmark")).drop("text")
+
+
+@query
+def op1_source_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    return mixture.counts(table(spark, folder, "documents").select("doc_id", "text", "source"))
