@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icelens.llm import decontaminate, mixture, quality, simhash
+from icelens.llm import decontaminate, mixture, quality, simhash, tokenbin
 from icelens.llm.common import table
 
 QUERIES = {}
@@ -40,3 +40,15 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
 @query
 def op1_source_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return mixture.counts(table(spark, folder, "documents").select("doc_id", "text", "source"))
+
+
+def tokenizer_file(name: str) -> str:
+    """The place of a public vocabulary file on this machine."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query
+def op7_token_binary(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return tokenbin.written(docs, tokenizer_file("byte_bpe_50k.json")).drop("ids")
