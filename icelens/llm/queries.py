@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icelens.llm import decontaminate, mixture, quality, simhash, tokenbin
+from icelens.llm import decontaminate, language, mixture, quality, secret_scan, simhash, tokenbin
 from icelens.llm.common import table
 
 QUERIES = {}
@@ -52,3 +52,15 @@ def tokenizer_file(name: str) -> str:
 def op7_token_binary(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return tokenbin.written(docs, tokenizer_file("byte_bpe_50k.json")).drop("ids")
+
+
+@query
+def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return secret_scan.summary(docs).drop("text")
+
+
+@query
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return language.identified(docs).select("doc_id", "held_out", "lang_pred", "score")
