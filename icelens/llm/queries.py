@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icelens.llm import decontaminate, language, mixture, quality, secret_scan, simhash, tokenbin
+from icelens.llm import decontaminate, language, mixture, quality, secret_scan, simhash, tokenbin, warc
 from icelens.llm.common import table
 
 QUERIES = {}
@@ -64,3 +64,19 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     return language.identified(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op6_warc_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archived(table(spark, folder, "pages"))
+
+
+ORACLES["op6_warc_chunks"] = """
+WITH payloads AS (SELECT page_id, encode(coalesce(html, '')) AS data FROM pages),
+sized AS (SELECT page_id, octet_length(data) AS n, sha1(data) AS digest FROM payloads),
+firsts AS (SELECT n, digest, max(page_id) AS top FROM sized WHERE n >= 1000 GROUP BY n, digest)
+SELECT s.page_id, CAST(s.n AS BIGINT) AS payload_bytes, s.digest AS payload_digest,
+       CASE WHEN f.top IS NOT NULL AND f.top IS DISTINCT FROM s.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.top IS DISTINCT FROM s.page_id THEN f.top END AS refers_to
+FROM sized s LEFT JOIN firsts f ON f.n = s.n AND f.digest = s.digest
+"""
