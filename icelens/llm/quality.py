@@ -144,15 +144,16 @@ def fit(votes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
                     "state.share", "state.rate"))
 
 
-def score(df: DataFrame, text: str = "text") -> DataFrame:
+def score(df: DataFrame, text: str = "text", keep_text: bool = True) -> DataFrame:
     """``df`` (all its columns, one row for each of its rows) with FEATURES, votes (array<int>), base_failed, posterior
-    (double) and kept (boolean: not base_failed and posterior at least KEEP_FROM) added.
+    (double) and kept (boolean: not base_failed and posterior at least KEEP_FROM) added, without the text unless ``keep_text``.
 
     base_failed: fewer than ten words, or over a fifth of them in repeated windows; so an empty or null text is not kept.
     """
     scored = features(df, text)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    scored = settle(with_outputs(scored, votes=F.array(*rules()), base_failed=failed), "quality")
+    scored = with_outputs(scored, votes=F.array(*rules()), base_failed=failed)
+    scored = settle(scored if keep_text else scored.drop(text), "quality")
     model = fit(scored.select("votes")).select(F.col("votes").alias("_votes"), F.col("posterior").alias("_posterior"))
     joined = scored.join(F.broadcast(model), F.col("votes") == F.col("_votes"), "left")  # at most 3 ** 8 rows
     return with_outputs(joined, posterior=F.col("_posterior"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icelens.llm import decontaminate, language, mixture, quality, secret_scan, simhash, tokenbin, warc
+from icelens.llm import decontaminate, language, mixture, piece_counts, quality, secret_scan, simhash, tokenbin, warc
 from icelens.llm.common import table
 
 QUERIES = {}
@@ -20,8 +20,7 @@ def query(fn):
 @query
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    packed = docs.select("doc_id", "text")
-    return quality.score(packed).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+    return quality.score(docs, keep_text=False).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                                         "base_failed", "kept", "posterior")
 
 
@@ -80,3 +79,10 @@ SELECT s.page_id, CAST(s.n AS BIGINT) AS payload_bytes, s.digest AS payload_dige
        CASE WHEN f.top IS DISTINCT FROM s.page_id THEN f.top END AS refers_to
 FROM sized s LEFT JOIN firsts f ON f.n = s.n AND f.digest = s.digest
 """
+
+
+@query
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    pieces = piece_counts.vocabulary(tokenizer_file("piece_bpe_32k.model"))
+    return piece_counts.counted(docs, pieces).drop("text")
