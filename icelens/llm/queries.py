@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icelens.llm import decontaminate, language, mixture, piece_counts, quality, secret_scan, simhash, tokenbin, warc
+from icelens.llm import decontaminate, language, language_model, mixture, piece_counts, quality, secret_scan, simhash, tokenbin, warc
 from icelens.llm.common import table
 
 QUERIES = {}
@@ -86,3 +86,8 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     pieces = piece_counts.vocabulary(tokenizer_file("piece_bpe_32k.model"))
     return piece_counts.counted(docs, pieces).drop("text")
+
+
+@query
+def op8_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.held_out_scores(table(spark, folder, "documents").select("doc_id", "text"))
