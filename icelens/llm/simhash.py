@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from icelens.llm.common import text_of
+from icelens.llm.common import text_of, words_of
 from icelens.session import settle
 
 SEED = 42
@@ -26,6 +26,9 @@ HALF = 32
 #: A bucket up to this size is joined pair by pair. A member of a larger one goes to its hubs, 1 + 32 + 496 rows in the
 #: worst case; so a fingerprint never makes more rows than a fixed number, whatever its bucket holds.
 SMALL_BUCKET = 64
+#: For similar(): 64-bit lanes of a wide fingerprint, bits of it that may differ before shingles are compared, words of a
+#: shingle, and the least Jaccard similarity of shingle sets.
+LANES, WIDE_BITS, SHINGLE, SIMILARITY = 6, 64, 5, 0.8
 
 
 def fingerprint(text: str | None, shingle: int) -> int:
@@ -82,12 +85,10 @@ def _segments(nodes: DataFrame) -> DataFrame:
         F.struct(F.lit(1).alias("part"), high.alias("own"), low.alias("rest")))).alias("s")).select("fp", "s.*")
 
 
-def links(nodes: DataFrame) -> DataFrame:
-    """(a, b): pairs of fingerprints whose links connect just what all pairs within MOST_BITS connect.
-
-    ``nodes``: distinct fingerprints ``fp`` (long). Between members of small buckets every pair is listed.
-    """
-    plain = settle(_segments(nodes), "simhash-segments")
+def _meet(plain: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(members, others) of the buckets (part, own): rows of ``plain`` by their segment and by its variants, as far as the
+    bucket has anyone to meet. ``small``: the bucket has at most SMALL_BUCKET of either."""
+    plain = settle(plain, "simhash-segments")
     bits = F.filter(F.sequence(F.lit(0), F.lit(HALF - 1)),
                     lambda i: F.call_function("shiftright", F.col("own"), i).bitwiseAND(F.lit(1)) == 1)
     variants = plain.select("fp", "part", "rest", F.explode(F.transform(
@@ -96,17 +97,28 @@ def links(nodes: DataFrame) -> DataFrame:
     # only variants that are somebody's segment go on; most are nobody's
     met = settle(variants.join(sizes, ["part", "own"]), "simhash-variants")
     reached = met.groupBy("part", "own").agg(F.count("*").alias("n_variants"))
-    buckets = sizes.where("n_plain > 1").join(reached, ["part", "own"], "full").select(
-        "part", "own", F.coalesce("n_plain", F.lit(1)).alias("n_plain"), F.coalesce("n_variants", F.lit(0)).alias("n_variants"))
-    buckets = settle(buckets, "simhash-buckets")
-    small = (F.col("n_plain") <= SMALL_BUCKET) & (F.col("n_variants") <= SMALL_BUCKET)
-    members = plain.join(buckets.withColumn("small", small), ["part", "own"])
-    others = met.drop("n_plain").join(buckets.withColumn("small", small), ["part", "own"])
+    buckets = settle(sizes.where("n_plain > 1").join(reached, ["part", "own"], "full").select(
+        "part", "own", ((F.coalesce("n_plain", F.lit(1)) <= SMALL_BUCKET)
+                        & (F.coalesce("n_variants", F.lit(0)) <= SMALL_BUCKET)).alias("small")), "simhash-buckets")
+    return plain.join(buckets, ["part", "own"]), met.drop("n_plain").join(buckets, ["part", "own"])
+
+
+def _pairs(members: DataFrame, others: DataFrame) -> DataFrame:
+    """(a, b): all pairs in small buckets with equal segments or segments one bit apart."""
     few, some = members.where("small"), others.where("small")
     left = few.select("part", "own", F.col("fp").alias("a"))
     equal = left.join(few.select("part", "own", F.col("fp").alias("b")), ["part", "own"]).where(F.col("a") < F.col("b"))
     apart = left.join(some.select("part", "own", F.col("fp").alias("b")), ["part", "own"])
-    pairs = equal.select("a", "b").union(apart.select("a", "b")).where(_distance(F.col("a"), F.col("b")) <= MOST_BITS)
+    return equal.select("a", "b").union(apart.select("a", "b"))
+
+
+def links(nodes: DataFrame) -> DataFrame:
+    """(a, b): pairs of fingerprints whose links connect just what all pairs within MOST_BITS connect.
+
+    ``nodes``: distinct fingerprints ``fp`` (long). Between members of small buckets every pair is listed.
+    """
+    members, others = _meet(_segments(nodes))
+    pairs = _pairs(members, others).where(_distance(F.col("a"), F.col("b")) <= MOST_BITS)
     return pairs.union(_hub_links(members.where("not small"), others.where("not small")))
 
 
@@ -178,3 +190,75 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle
     rooted = nodes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     named = rooted.join(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "root").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def wide_fingerprint(text: str | None) -> list[int]:
+    """LANES 64-bit SimHashes of the distinct words of a text. A changed word changes five shingles but one word, so texts
+    of a given shingle similarity differ in far fewer bits than by shingles."""
+    data = set((text or "").encode("utf-8", "surrogatepass").lower().split())
+    if not data:
+        return [0] * LANES
+    hashes = np.array([[xxhash.xxh64_intdigest(w, SEED + k) for k in range(LANES)] for w in data], dtype="<u8")
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(len(data), -1), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * bits > len(data), bitorder="little").view("<i8").tolist()
+
+
+@F.pandas_udf("array<long>")
+def wide_fingerprints(texts: pd.Series) -> pd.Series:
+    return pd.Series([wide_fingerprint(t) for t in texts])
+
+
+def shingle_set(text: Column) -> Column:
+    """The distinct shingles of SHINGLE words (A-Z lower-cased) as hashes; fewer words are one shingle, no word none."""
+    words = words_of(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    return F.transform(F.array(words), lambda w: F.array_distinct(F.transform(  # a one-item array names the words once
+        F.when(F.size(w) == 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(w) - SHINGLE))),
+        lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(SHINGLE)]))))[0]
+
+
+def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, node, component_id, keep), one row per row of ``docs``: groups of texts linked by shingle sets of Jaccard
+    similarity SIMILARITY or more.
+
+    Candidates are texts that agree, but for one bit, in a segment of the wide fingerprint (of 12 segments one must if at
+    most 23 bits differ; with more bits some still do), all links among them are decided by the sets themselves. In buckets
+    over SMALL_BUCKET only links with the bucket's smallest node are tried; a text is in many buckets. node: 64-bit hash of
+    the text. keep: the row has the smallest doc_id (null last) of its group, then the smallest node.
+    """
+    marked = settle(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), text_of(text).alias("text")).select(
+        "doc_id", F.xxhash64("text").alias("node"), wide_fingerprints("text").alias("wide")), "similar")
+    nodes = settle(marked.groupBy("node").agg(F.first("wide").alias("wide"), F.min(F.struct(
+        F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("first")), "similar-nodes")
+    parts = F.flatten(F.transform("wide", lambda v, k: F.array(
+        F.struct((2 * k).alias("part"), v.bitwiseAND(F.lit(0xFFFFFFFF)).alias("own")),
+        F.struct((2 * k + 1).alias("part"), F.call_function("shiftrightunsigned", v, F.lit(HALF)).alias("own")))))
+    plain = nodes.select(F.col("node").alias("fp"), F.explode(parts).alias("s")).select("fp", "s.part", "s.own", F.lit(0).alias("rest"))
+    members, others = _meet(plain)
+    large = members.where("not small").unionByName(others.where("not small"))
+    centre = large.groupBy("part", "own").agg(F.min("fp").alias("a"))
+    stars = large.join(centre, ["part", "own"]).select("a", F.col("fp").alias("b"))
+    pairs = _pairs(members, others).union(stars).where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    wide = nodes.select("node", "wide")
+    near = pairs.join(wide.toDF("a", "x"), "a").join(wide.toDF("b", "y"), "b")
+    apart = F.aggregate(F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, d: s + d)
+    near = settle(near.where(apart <= WIDE_BITS).select("a", "b"), "similar-pairs")
+    wanted = near.select(F.col("a").alias("node")).union(near.select(F.col("b").alias("node"))).distinct()
+    texts = docs.select(text_of(text).alias("text")).withColumn("node", F.xxhash64("text"))
+    sets = settle(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]).select("node", shingle_set(F.col("text")).alias("set")), "similar-sets")
+    both = near.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
+    common = F.size(F.array_intersect("x", "y"))
+    linked = both.select("a", "b", common.alias("n"), (F.size("x") + F.size("y")).alias("sum"))
+    roots = components(linked.where(F.col("n") >= SIMILARITY * (F.col("sum") - F.col("n"))).select("a", "b"))
+    rooted = nodes.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
+    best = rooted.groupBy("root").agg(F.min("first").alias("best"))
+    named = rooted.join(best, "root").select("node", F.col("best.doc_id").alias("component_id"), F.col("best.node").alias("best_node"))
+    return marked.select("doc_id", "node").join(named, "node").select(
+        "doc_id", "node", "component_id", ((F.col("node") == F.col("best_node")) & F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("keep"))
+
+
+def unique_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One document of every group of similar(), with the columns of ``docs``: the one with the smallest doc_id."""
+    kept = similar(docs, doc_id, text).where("keep").select(F.col("doc_id").alias("_id"), F.col("node").alias("_kept"))
+    marked = docs.withColumn("_node", F.xxhash64(text_of(text)))
+    return (marked.join(kept, (F.col("_node") == F.col("_kept")) & F.col(f"`{doc_id}`").eqNullSafe(F.col("_id")), "left_semi")
+            .dropDuplicates(["_node", doc_id]).drop("_node"))
