@@ -159,7 +159,8 @@ def pieces(rows: DataFrame, sources: list) -> DataFrame:
     begin = F.greatest(F.col("block") * BLOCK, F.col("_start"))
     end = F.least((F.col("block") + 1) * BLOCK, F.col("_start") + F.col("_size"))
     cut = cut.select("_source", "_start", "block", (begin - F.col("_start")).alias("from"), (end - begin).alias("n"))
-    return cut.join(slots(rows.sparkSession, sources), ["_source", "block"])
+    # the slots come out of few rows, so their size is not known beforehand: never broadcast them
+    return cut.join(slots(rows.sparkSession, sources).hint("merge"), ["_source", "block"])
 
 
 def counts(docs: DataFrame) -> DataFrame:
