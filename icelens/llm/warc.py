@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -70,17 +71,19 @@ def head(page: int | None, url: str | None, digest: str, size: int, refers_to: i
 
 
 def write(rows: DataFrame, folder: str) -> DataFrame:
-    """Write CHUNK_ROWS as WARC files below ``folder``; returns (path, n_records), one row per file."""
+    """Write CHUNK_ROWS as WARC files below ``folder``, each record a gzip member of its own; returns (path, n_records), one
+    row per file."""
     def save(batches):
-        path, out, n = f"{folder}/{uuid.uuid4().hex}.warc", None, 0
+        path, out, n = f"{folder}/{uuid.uuid4().hex}.warc.gz", None, 0
         for batch in batches:
             for row in batch.to_pylist():
                 out = out or opened(path, "w")
                 if row["chunk_no"] == 0:
-                    out.write(head(row["page_id"], row["url"], row["digest"], row["size"], row["refers_to"]))
-                out.write(row["data"])
+                    member = zlib.compressobj(6, wbits=31)
+                    out.write(member.compress(head(row["page_id"], row["url"], row["digest"], row["size"], row["refers_to"])))
+                out.write(member.compress(row["data"]))
                 if row["last"]:
-                    out.write(b"\r\n\r\n")
+                    out.write(member.compress(b"\r\n\r\n") + member.flush())
                     n += 1
         if out:
             out.close()
@@ -89,6 +92,26 @@ def write(rows: DataFrame, folder: str) -> DataFrame:
     return settle(rows.mapInArrow(save, "path string, n_records long"), "warc")
 
 
+class Members:
+    """The bytes of a file of gzip members, one after the other."""
+
+    def __init__(self, stream):
+        self.stream, self.member, self.packed = stream, zlib.decompressobj(wbits=31), b""
+
+    def read(self, n: int) -> bytes:
+        """1 to ``n`` bytes; none at the end."""
+        while True:
+            if self.member.eof:
+                self.packed, self.member = self.member.unused_data, zlib.decompressobj(wbits=31)
+            self.packed = self.packed or self.stream.read(1 << 16)
+            if not self.packed:
+                return b""
+            out = self.member.decompress(self.packed, n)
+            self.packed = self.member.unconsumed_tail
+            if out:
+                return out
+
+
 class Reader:
     """Lines and bytes of a stream, read a chunk at a time."""
 
@@ -163,7 +186,7 @@ def read(manifest: DataFrame, payloads: bool = True) -> DataFrame:
             for path in batch.column("path").to_pylist():
                 with opened(path, "r") as stream:
                     rows, size = [], 0
-                    for row in records(stream):
+                    for row in records(Members(stream)):
                         size += len(row["data"]) + 200 if payloads else 200
                         rows.append(row if payloads else row | {"data": b""})
                         if size > 1 << 22:
