@@ -16,6 +16,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from icelens.llm.common import text_of, words_of
 from icelens.session import settle
@@ -203,7 +204,7 @@ def wide_fingerprint(text: str | None) -> list[int]:
     return np.packbits(2 * bits > len(data), bitorder="little").view("<i8").tolist()
 
 
-@F.pandas_udf("array<long>")
+@F.pandas_udf(ArrayType(LongType()))
 def wide_fingerprints(texts: pd.Series) -> pd.Series:
     return pd.Series([wide_fingerprint(t) for t in texts])
 
