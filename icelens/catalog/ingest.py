@@ -54,8 +54,7 @@ def parsed(spark, folder) -> DataFrame:
 
 def full_shots(view) -> DataFrame:
     """Shot events with prior-event context, with the columns the strength tag needs."""
-    flat = view("plays_v").where("type is null or type not in ('hit', 'giveaway', 'takeaway')")
-    shots = feeds.shots(flat)
+    shots = feeds.shots(view("plays_v"))
     part = F.split("time", ":")
     return shots.withColumns({"sec": part[0].cast("int") * 60 + part[1].cast("int"), "seq": F.col("sort_order")})
 
@@ -83,11 +82,11 @@ SELECT *, type AS event_type, CASE WHEN type = 'goal' THEN scoring_player_id ELS
  CASE WHEN pp = period THEN py END AS prior_event_y
 FROM (SELECT *, LAG(type) OVER w AS pt, LAG(team) OVER w AS pteam, LAG(period) OVER w AS pp, LAG(time) OVER w AS ptime,
   LAG(x) OVER w AS px, LAG(y) OVER w AS py FROM plays_v
-  WHERE type IS NOT NULL AND period IS NOT NULL AND time IS NOT NULL AND period_type <> 'SO' {0}
+  WHERE type IS NOT NULL AND period IS NOT NULL AND time IS NOT NULL AND period_type <> 'SO'
   WINDOW w AS (PARTITION BY season, game_id ORDER BY sort_order))
 WHERE type IN ('goal', 'shot-on-goal', 'missed-shot', 'blocked-shot') AND team IS NOT NULL"""
 register("prior_event", G + "sort_order:l period:l time team event_type shot_type shooter_id:l goalie_id:l x:r1 y:r1 zone "
-         "prior_event_type prior_event_team prior_event_time prior_event_x:r1 prior_event_y:r1", PRIOR_SQL.format(""))(
+         "prior_event_type prior_event_team prior_event_time prior_event_x:r1 prior_event_y:r1", PRIOR_SQL)(
     lambda spark, folder: feeds.shots(parsed(spark, folder)))
 
 

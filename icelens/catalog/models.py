@@ -6,39 +6,55 @@ import dataclasses
 
 from pyspark.sql import DataFrame, functions as F
 
-from icelens.catalog.intervals import context_stints
+from icelens.catalog.intervals import CONTEXT_SQL, context_stints
 from icelens.catalog.registry import register
 from icelens.catalog.totals import skater_table, tables
 from icelens.operators import aggregate as agg, ridge, xg
+from icelens.operators.context import CONTEXT_COLUMNS
+from icelens.operators.folds import group_folds
 from icelens.operators.perspective import even_pooled_rows
 from icelens.plans import ratings, stats
 from icelens.session import settle
 from icelens.sources.league_views import LEAGUE_RULES, league
 
+# Penalties, folds and the least number of rows are those of the library. Trees are fewer and shallower than
+# DEFAULT_RULES has them: its grids are some 1,500 boosted trees a fold and strength.
 RULES = dataclasses.replace(
-    LEAGUE_RULES, alphas=(1.0, 10.0, 100.0), alphas_special=(0.1, 10.0, 100.0), xg_folds=3, min_rows_per_strength=500,
-    high_volume=(), xg_grid=({"maxDepth": 2, "stepSize": 0.1, "maxIter": 3}, {"maxDepth": 3, "stepSize": 0.1, "maxIter": 3}))
-# Columns of the context that the SQL of the pooled rows also has.
-CONTEXT = ("off_zone_o", "off_zone_d", "off_zone_n")
+    LEAGUE_RULES, high_volume=(),
+    xg_grid=({"maxDepth": 2, "stepSize": 0.1, "maxIter": 3}, {"maxDepth": 3, "stepSize": 0.1, "maxIter": 3}))
 
 
 def pooled(spark, folder) -> DataFrame:
     return even_pooled_rows(context_stints(league(spark, folder)))
 
 
-DESIGN_SQL = """
+def _context_sql(column: str, own: str, opp: str) -> str:
+    side, _, value = column.partition("_")
+    name = own if side == "off" else opp
+    if side == "state":
+        return f"CAST({own}_n = {value[0]} AS INT)"
+    if value[:-1] in ("up", "down"):
+        return f"CAST({name}_score_state = {'-' if value[0] == 'd' else ''}{value[-1]} AS INT)"
+    return "otf" if value == "otf" else f"{name}_{value}"
+
+
+def _side_sql(own: str, opp: str) -> str:
+    values = ", ".join(f"{{'f': {ridge.context_code(i)}::BIGINT, 'x': ({_context_sql(c, own, opp)})::DOUBLE}}" for i, c in enumerate(CONTEXT_COLUMNS))
+    return f"""SELECT season, game_id, period, start_sec, duration, team_{own} AS team, {own}_skaters AS skaters, {opp}_skaters AS others,
+ {own}_xg AS xgf, [{values}] AS context FROM c WHERE a_goalie_on AND b_goalie_on AND a_n = b_n AND a_n IN (3, 4, 5)"""
+
+
+DESIGN_SQL = f"""
+WITH c AS ({CONTEXT_SQL}), s AS ({_side_sql("a", "b")} UNION ALL {_side_sql("b", "a")})
 SELECT season, game_id, period, start_sec, team AS off_team, duration/3600.0 AS weight,
  LEAST(50, GREATEST(0, xgf/(duration/3600.0))) AS y, game_id % 5 AS fold, e.f AS feature, e.x AS value FROM (
- SELECT *, unnest(list_concat(list_transform(skaters, lambda p: {'f': p*2, 'x': 1.0::DOUBLE}),
-  list_transform(others, lambda p: {'f': p*2 + 1, 'x': 1.0::DOUBLE}),
-  list_filter([{'f': -3::BIGINT, 'x': zone_o::DOUBLE}, {'f': -4::BIGINT, 'x': zone_d::DOUBLE}, {'f': -5::BIGINT, 'x': zone_n::DOUBLE}],
-              lambda z: z.x <> 0))) AS e
- FROM sides_o WHERE own_g AND opp_g AND own = opp AND own IN (3, 4, 5))"""
+ SELECT *, unnest(list_concat(list_transform(skaters, lambda p: {{'f': p*2, 'x': 1.0::DOUBLE}}),
+  list_transform(others, lambda p: {{'f': p*2 + 1, 'x': 1.0::DOUBLE}}), list_filter(context, lambda z: z.x <> 0))) AS e FROM s)"""
 
 
 @register("design_long", "season game_id:l period:l start_sec:l off_team feature:l value:r6", DESIGN_SQL)
 def _(spark, folder):
-    return ridge.design_long(pooled(spark, folder), CONTEXT)
+    return ridge.design_long(pooled(spark, folder), CONTEXT_COLUMNS)
 
 
 @register("ridge_gram", "season i:l j:l g0:r6 g1:r6 g2:r6 g3:r6 g4:r6", f"""
@@ -50,19 +66,13 @@ SELECT season, a.feature AS i, b.feature AS j, {', '.join(
 FROM x a JOIN x b USING (season, game_id, period, start_sec, off_team) WHERE a.feature <= b.feature GROUP BY ALL""")
 def _(spark, folder):
     rows = ridge.with_response(pooled(spark, folder), "xg_for", RULES)
-    return ridge.gram(rows, ["season"], CONTEXT, 5, F.pmod(F.col("game_id"), F.lit(5)))
+    return ridge.gram(rows, ["season"], CONTEXT_COLUMNS, 5, F.pmod(F.col("game_id"), F.lit(5)))
 
 
 @register("ridge_fit", "season feature:l coef:r4 alpha:r6 cv_r2:r4")
 def _(spark, folder):
     rows = settle(pooled(spark, folder), "rows")
-    return ridge.fit(rows, ["season"], "xg_for", CONTEXT, RULES.alphas, rules=RULES)
-
-
-@register("ridge_fit_distributed", "feature:l coef:r4")
-def _(spark, folder):
-    rows = settle(pooled(spark, folder), "rows")
-    return ridge.fit_distributed(rows, "xg_for", CONTEXT, 10.0, rules=RULES)
+    return ridge.fit(rows, ["season"], "xg_for", CONTEXT_COLUMNS, RULES.alphas, rules=RULES)
 
 
 RATED = "season player_id:l evo_rapm:r4 evd_rapm:r4 ppl_rapm:r4 pkl_rapm:r4"
@@ -89,15 +99,18 @@ def xg_table(spark, folder) -> DataFrame:
     return xg.training_table(full_shots(view), stints, view("bios_v"), RULES)
 
 
-@register("group_folds", "season fold:l n:l")
+@register("group_folds", "game_id:l fold:l n:l", """
+SELECT game_id, n, CASE WHEN (place // used) % 2 = 0 THEN place % used ELSE used - 1 - place % used END AS fold FROM (
+ SELECT game_id, n, row_number() OVER (ORDER BY n DESC, CAST(game_id AS VARCHAR)) - 1 AS place, GREATEST(2, LEAST(5, COUNT(*) OVER ())) AS used
+ FROM (SELECT game_id, COUNT(*) AS n FROM shots_v GROUP BY game_id))""")
 def _(spark, folder):
     shots = league(spark, folder)("shots_v")
-    return xg.group_folds(shots, "season", 3).groupBy("season", "fold").agg(F.count("*").alias("n"))
+    return group_folds(shots, "game_id", RULES.ridge_folds).groupBy("game_id", "fold").agg(F.count("*").alias("n"))
 
 
 @register("xg_oof", "season game_id:l seq:l fold:l label:r1 xg:r4")
 def _(spark, folder):
-    rows = settle(xg.group_folds(xg.prepared(xg_table(spark, folder)), "season", 3), "shots")
+    rows = settle(group_folds(xg.prepared(xg_table(spark, folder)), "season", RULES.xg_folds), "shots")
     return xg.out_of_fold(rows, RULES.xg_grid[0], ["season", "game_id", "seq", "fold", "label"])
 
 
@@ -111,8 +124,7 @@ def _(spark, folder):
 
 def _trained(spark, folder):
     table = settle(xg_table(spark, folder), "shots")
-    smallest = min(RULES.min_rows_per_strength, max(50, table.count() // 8))
-    return table, xg.train(table, dataclasses.replace(RULES, min_rows_per_strength=smallest))
+    return table, xg.train(table, RULES)
 
 
 @register("xg_train", "strength n_rows:l cv_auc:r4")

@@ -75,7 +75,7 @@ FROM (SELECT *, {dist('x', 'y')} AS distance, degrees(atan2(abs(y), abs(CASE WHE
   CASE WHEN prior_event_time IS NOT NULL THEN GREATEST(0, {secs('time')} - {secs('prior_event_time')}) END AS elapsed,
   prior_event_x IS NOT NULL AND prior_event_y IS NOT NULL AND prior_event_time IS NOT NULL AS known,
   sqrt(pow(x - prior_event_x, 2) + pow(y - prior_event_y, 2)) AS travel
- FROM ({PRIOR_SQL.format("AND type NOT IN ('hit', 'giveaway', 'takeaway')")}))"""
+ FROM ({PRIOR_SQL}))"""
 
 
 @register("shot_features", "season game_id:l sort_order:l " + FEATURES, FEATURE_SQL)

@@ -6,6 +6,20 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from icelens.config import DEFAULT_RULES, PERIOD_KEYS, Rules
 from icelens.operators.attach import attach_score_state, attach_xg
+from icelens.operators.perspective import STATES
+
+#: What each step adds to the regression, from the attacking (off) or the defending (def) side.
+MODEL = {
+    "attach_zone_start": [f"off_zone_{z}" for z in "odn"],
+    "attach_score_state": [f"off_{lead}{goals}" for lead in ("up", "down") for goals in (1, 2, 3)],
+    "attach_expiry": ["off_ppx", "off_pkx"],
+    "attach_on_the_fly": ["off_otf"],
+    "attach_home": ["off_home"],
+    "attach_back_to_back": ["off_b2b", "def_b2b"],
+    "attach_interactions": ["off_score_x_o", "off_score_x_d"] + [f"{s}_{k}_x_home" for k in ("ppx", "pkx") for s in ("off", "def")],
+    "even_pooled_rows": list(STATES),
+}
+CONTEXT_COLUMNS = tuple(column for columns in MODEL.values() for column in columns)
 
 
 def _previous() -> tuple[Column, Column, Column]:

@@ -16,6 +16,7 @@ from icelens.config import DEFAULT_RULES, UNBLOCKED, Rules
 from icelens.functions.geometry import attach_hands, shot_features
 from icelens.functions.labels import nearest_strength
 from icelens.operators.aggregate import calibration
+from icelens.operators.folds import group_folds
 from icelens.operators.attach import attach_shot_score_state, tag_strength
 
 NUMERIC = ("distance", "angle", "behind_net", "prior_event_elapsed", "distance_change", "shot_speed", "is_rebound",
@@ -55,28 +56,6 @@ def _pipeline(params: dict, seed: int = 0) -> Pipeline:
     return Pipeline(stages=[*indexers, assembler, trees])
 
 
-def group_folds(rows: DataFrame, group: str, folds: int, few: int = 1000) -> DataFrame:
-    """Add ``fold``: whole groups, sizes balanced.
-
-    Up to ``few`` groups (seasons) are dealt out largest first to the lightest fold; only
-    their counts reach the driver. More groups (games) are spread by hash.
-    """
-    counts = rows.groupBy(group).agg(F.count("*").alias("n"))
-    head = counts.limit(few + 1).collect()
-    if len(head) > few:
-        return rows.withColumn("fold", F.pmod(F.xxhash64(F.col(group)), F.lit(folds)).cast("int"))
-    folds = max(2, min(folds, len(head)))
-    load, place = [0] * folds, {}
-    for row in sorted(head, key=lambda r: (-r["n"], str(r[group]))):
-        lightest = load.index(min(load))
-        place[row[group]] = lightest
-        load[lightest] += row["n"]
-    if not place:
-        return rows.withColumn("fold", F.lit(0))
-    table = F.create_map(*[F.lit(x) for pair in place.items() for x in pair])
-    return rows.withColumn("fold", table[F.col(group)])
-
-
 def _scored(model: PipelineModel, rows: DataFrame, keep: list[str]) -> DataFrame:
     return model.transform(rows).select(*keep, vector_to_array("probability")[1].alias("xg"))
 

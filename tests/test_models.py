@@ -8,8 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from icelens.config import DEFAULT_RULES
-from icelens.operators import ridge, value, xg
-from icelens.plans import ratings
+from icelens.operators import folds, ridge, value, xg
 
 ROWS = """season string, game_id long, period int, start_sec int, off_team string, duration int, off_skaters array<long>,
  def_skaters array<long>, xg_for double, off_home int"""
@@ -75,17 +74,6 @@ def test_cross_validation_picks_the_best_mean_r2(spark):
     assert got["cv_r2"] == pytest.approx(max(scores.values()), abs=1e-9)
 
 
-def test_wide_seasons_take_the_distributed_path(spark):
-    rows = make_rows(200)
-    frame = spark.createDataFrame(rows, ROWS)
-    rules = dataclasses.replace(DEFAULT_RULES, ridge_folds=2)
-    got = ratings.checked_fit(frame, "xg_for", CONTEXT, (7.0,), None, rules, limit=1).collect()
-    want, intercept = closed_form(rows, 7.0, {})
-    have = {r["feature"]: r["coef"] for r in got}
-    assert have.pop(ridge.INTERCEPT) == pytest.approx(intercept, abs=1e-3)
-    assert have == pytest.approx(want, abs=1e-3)
-
-
 def test_huge_penalty_returns_the_prior(spark):
     frame = spark.createDataFrame(make_rows(100), ROWS)
     prior = spark.createDataFrame([("s", 4, 1.5)], "season string, feature long, prior double")
@@ -105,7 +93,7 @@ def test_prior_pools_two_seasons_and_flips_defence(spark):
 
 def test_folds_keep_groups_whole_and_balanced(spark):
     rows = spark.createDataFrame([(f"s{i % 7}",) for i in range(700)] + [("s0",)] * 100, "season string")
-    got = xg.group_folds(rows, "season", 3).groupBy("season").agg(F.countDistinct("fold").alias("k"), F.first("fold").alias("f")).collect()
+    got = folds.group_folds(rows, "season", 3).groupBy("season").agg(F.countDistinct("fold").alias("k"), F.first("fold").alias("f")).collect()
     assert all(r["k"] == 1 for r in got) and {r["f"] for r in got} == {0, 1, 2}
 
 
