@@ -81,8 +81,9 @@ class Counter:
         else:
             parts = [p[1:] for p in self.cut.split(SPACE + text.replace(" ", SPACE))]
         known = self.known
-        for part in set(parts) - known.keys():
-            known[part] = self.search(SPACE + part)
+        for part in set(parts):
+            if part not in known:
+                known[part] = self.search(SPACE + part)
         found = [known[p] for p in parts]
         return sum(n for n, _ in found), sum(s for _, s in found)
 
