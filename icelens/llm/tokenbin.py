@@ -78,8 +78,8 @@ class Encoder:
         if len(self.first) > CACHED_WORDS:
             self.first.clear()
         split = [t.split(" ") for t in texts]
-        self._learn(list(set().union(*(s[1:] for s in split)) - self.words.keys()))
-        heads = list({s[0] for s in split} - self.first.keys())
+        self._learn([w for w in set().union(*(s[1:] for s in split)) if w not in self.words])
+        heads = [h for h in {s[0] for s in split} if h not in self.first]
         self.first.update((h, i.tobytes()) for h, i in zip(heads, self._ids(heads)))
         out = []
         for text, (head, *rest) in zip(texts, split):
