@@ -11,6 +11,7 @@ the parts start from zero; for scores that are whole numbers, as in the vocabula
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -34,6 +35,18 @@ def vocabulary(path: str) -> list[tuple[str, float]]:
             if not (model.is_control(i) or model.is_byte(i) or model.is_unknown(i) or model.is_unused(i))]
 
 
+class Parts(dict):
+    """Number of pieces per part, worked out when first asked for; ``scores`` has the same keys."""
+
+    def __init__(self, search):
+        super().__init__()
+        self.search, self.scores = search, {}
+
+    def __missing__(self, part: str) -> int:
+        self[part], self.scores[part] = self.search(SPACE + part)
+        return self[part]
+
+
 class Counter:
     def __init__(self, pieces: list[tuple[str, float]]):
         self.automaton = ahocorasick.Automaton()
@@ -47,11 +60,18 @@ class Counter:
         self.simple = before <= {SPACE}  # only runs of spaces cross into a space
         held = "".join(map(re.escape, sorted(before)))
         self.cut = re.compile(f"(?<=[^{held}])(?={SPACE})" if held else f"(?<=.)(?={SPACE})", re.S)
-        self.known: dict[str, tuple[int, float]] = {}
+        self.known = Parts(self.search)
 
     def search(self, part: str) -> tuple[int, float]:
         """(pieces, score) of the best path through ``part``, by its definition."""
         n = len(part)
+        if self.singles.issuperset(part):  # every place can be reached: matches come by their end, the longest first
+            best, count = [0.0] + [-math.inf] * n, [0] * (n + 1)
+            for end, (length, score) in self.automaton.iter(part):
+                value = best[end + 1 - length] + score
+                if value > best[end + 1]:
+                    best[end + 1], count[end + 1] = value, count[end + 1 - length] + 1
+            return count[n], best[n]
         ending: list[list] = [[] for _ in range(n + 1)]
         if len(self.automaton):
             for end, match in self.automaton.iter(part):
@@ -75,17 +95,12 @@ class Counter:
         if not text:
             return 0, 0.0
         if len(self.known) > CACHED_PARTS:
-            self.known.clear()
+            self.known = Parts(self.search)
         if self.simple and text[0] != " " and "  " not in text and SPACE not in text:
             parts = text.split(" ")  # remembered without the space mark in front of each
         else:
             parts = [p[1:] for p in self.cut.split(SPACE + text.replace(" ", SPACE))]
-        known = self.known
-        for part in set(parts):
-            if part not in known:
-                known[part] = self.search(SPACE + part)
-        found = [known[p] for p in parts]
-        return sum(n for n, _ in found), sum(s for _, s in found)
+        return sum(map(self.known.__getitem__, parts)), sum(map(self.known.scores.__getitem__, parts))
 
 
 def counted(docs: DataFrame, pieces: list[tuple[str, float]], text: str = "text") -> DataFrame:
