@@ -113,7 +113,7 @@ def _scorer(names: list[str], table: np.ndarray):
                     out.append((None, 0.0))
                     continue
                 vector = vectors.total(*vectors.grams(value))
-                cosines = vector @ unit / (np.linalg.norm(vector) or 1)
+                cosines = np.round(vector @ unit / (np.linalg.norm(vector) or 1), 12)  # equal prototypes tie
                 k = int(np.argmax(cosines))
                 out.append((names[k], float(min(1.0, max(0.0, cosines[k])))))
             yield pd.DataFrame(out, columns=["lang", "score"])
