@@ -175,7 +175,20 @@ def test_language_model_base_and_gain(spark, messy, monkeypatch, common):
                    round(log(ends) + sum(log(counts[w]) for w in words(t)), 6)) for d, t in rows)
     assert sorted(((r.doc_id is None, r.doc_id or 0), r.n_tokens, r.n_known, round(r.base_score, 6)) for r in out) == want
     assert {r.train_tokens for r in out} == {n} and all(r.score < 0 for r in out)
-    assert sum(r.score for r in out) > sum(r.base_score for r in out)
+
+
+def test_language_model_learns_contexts(spark):
+    rnd = random.Random(13)
+    follows = {w: rnd.sample("abcdefghij", 2) for w in "abcdefghij"}
+    rows = []
+    for i in range(200):
+        words = ["a"]
+        while len(words) < 40:
+            words.append(rnd.choice(follows[words[-1]]))
+        rows.append((i, " ".join(words)))
+    out = language_model.held_out_scores(spark.createDataFrame(rows, "doc_id long, text string")).where("held_out").collect()
+    per_token = 10 ** (-sum(r.score for r in out) / sum(r.n_tokens for r in out))
+    assert out and per_token < 2.5 < 6 < 10 ** (-sum(r.base_score for r in out) / sum(r.n_tokens for r in out))
 
 
 def test_language_model_probabilities_sum_to_one(spark, messy, monkeypatch):
