@@ -14,8 +14,11 @@ from __future__ import annotations
 
 import os
 import struct
+import sys
 import uuid
 import zlib
+from itertools import filterfalse
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -29,7 +32,7 @@ from icelens.session import settle
 
 HEAD = "<qBII"
 END = 2
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
 TEXTS_AT_ONCE = 100
 
 
@@ -78,19 +81,31 @@ class Encoder:
         if len(self.first) > CACHED_WORDS:
             self.first.clear()
         split = [t.split(" ") for t in texts]
-        self._learn([w for w in set().union(*(s[1:] for s in split)) if w not in self.words])
-        heads = [h for h in {s[0] for s in split} if h not in self.first]
-        self.first.update((h, i.tobytes()) for h, i in zip(heads, self._ids(heads)))
+        heads = [s.pop(0) for s in split]
+        new = [h for h in set(heads) if h not in self.first]
+        self.first.update((h, i.tobytes()) for h, i in zip(new, self._ids(new)))
+        known, get = self.words.__contains__, self.words.__getitem__
+        self._learn(list(set().union(*(filterfalse(known, s) for s in split))))
         out = []
-        for text, (head, *rest) in zip(texts, split):
-            parts = [self.words[w] for w in rest]
-            if None in parts or (rest and (not head or head[-1].isspace())):
+        for text, head, rest in zip(texts, heads, split):
+            try:
+                if rest and (not head or head[-1].isspace()):
+                    raise TypeError
+                out.append(self.first[head] + b"".join(map(get, rest)))
+            except TypeError:  # some word is None
                 out.append(self._ids([text])[0].tobytes())
-            else:
-                out.append(self.first[head] + b"".join(parts))
         return out
 
 
+def worker_encoder(path: str) -> Encoder:
+    """The encoder of this worker process, kept from task to task with the words it knows. (Functions come to a worker by
+    value, so a global of this module would be new in every task.)"""
+    kept = sys.modules.setdefault("_icelens_encoders", ModuleType("_icelens_encoders")).__dict__
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
+
+
 def pack(numbers: np.ndarray) -> tuple[bytes, bytes]:
     """(control bytes, data bytes) of numbers below 2 ** 32."""
     wide = numbers.astype("<u4")
@@ -122,7 +137,7 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 def encoded(docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, ids binary): the ids of every whole text and END, two bytes an id (four for vocabularies over 65,536)."""
     def encode(batches):
-        encoder = Encoder(tokenizer)
+        encoder = worker_encoder(tokenizer)
         end = np.array([END], dtype=encoder.kind).tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
