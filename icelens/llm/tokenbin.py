@@ -17,7 +17,6 @@ import struct
 import sys
 import uuid
 import zlib
-from itertools import filterfalse
 from types import ModuleType
 
 import numpy as np
@@ -32,8 +31,10 @@ from icelens.session import settle
 
 HEAD = "<qBII"
 END = 2
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 500_000
 TEXTS_AT_ONCE = 100
+#: Stands for the ids of a word whose text must be encoded whole (never the ids of a word: these are of even length).
+WHOLE = b"?"
 
 
 class Encoder:
@@ -52,17 +53,23 @@ class Encoder:
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         tokens = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
         self.opens = np.array([t.startswith("Ġ") for t in tokens])
-        self.words: dict[str, bytes | None] = {}
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.asarray(e.ids, dtype=self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[str]) -> None:
+        if len(self.words) > CACHED_WORDS:  # words of the generation before last are forgotten
+            self.older, self.words = self.words, {}
+        kept = [w for w in words if w in self.older]
+        self.words.update(zip(kept, map(self.older.__getitem__, kept)))
+        words = [w for w in words if w not in self.words]
         clean = []
         for word in words:
             if not word or word[0].isspace() or word[-1].isspace() or "᠎" in word:
-                self.words[word] = None  # the spaces around it are not single: encode such texts whole
+                self.words[word] = WHOLE  # the spaces around it are not single
             else:
                 clean.append(word)
         lines = [clean[i:i + 200] for i in range(0, len(clean), 200)]
@@ -76,24 +83,22 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes of ``kind``."""
-        if len(self.words) > CACHED_WORDS:
-            self.words.clear()
         if len(self.first) > CACHED_WORDS:
             self.first.clear()
         split = [t.split(" ") for t in texts]
         heads = [s.pop(0) for s in split]
         new = [h for h in set(heads) if h not in self.first]
         self.first.update((h, i.tobytes()) for h, i in zip(new, self._ids(new)))
-        known, get = self.words.__contains__, self.words.__getitem__
-        self._learn(list(set().union(*(filterfalse(known, s) for s in split))))
-        out = []
-        for text, head, rest in zip(texts, heads, split):
-            try:
-                if rest and (not head or head[-1].isspace()):
-                    raise TypeError
-                out.append(self.first[head] + b"".join(map(get, rest)))
-            except TypeError:  # some word is None
+        found = [list(map(self.words.get, s)) for s in split]
+        self._learn(list({w for s, f in zip(split, found) if None in f for w, ids in zip(s, f) if ids is None}))
+        out, words = [], self.words
+        for text, head, rest, ids in zip(texts, heads, split, found):
+            if None in ids:
+                ids = [words[w] if i is None else i for w, i in zip(rest, ids)]
+            if WHOLE in ids or (rest and (not head or head[-1].isspace())):
                 out.append(self._ids([text])[0].tobytes())
+            else:
+                out.append(self.first[head] + b"".join(ids))
         return out
 
 
