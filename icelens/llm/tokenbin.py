@@ -166,7 +166,9 @@ def write(docs: DataFrame, tokenizer: str, folder: str) -> DataFrame:
     Returns the manifest: (shard, path, n_docs, n_ids), one row per file.
     """
     kind, size = _kind(tokenizer)
-    ids = settle(encoded(docs, tokenizer), "tokens")
+    at = new_folder(docs.sparkSession, "tokens")  # written here, as ids shrink with zstd
+    encoded(docs, tokenizer).write.option("compression", "zstd").parquet(at)
+    ids = docs.sparkSession.read.schema("doc_id long, ids binary").parquet(at)
 
     def count(batches):
         seen = np.zeros(size, dtype=np.int64)
