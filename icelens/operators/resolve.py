@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from icelens.functions.text import name_key
+from icelens.session import settle
 
 
 def _only(df: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -28,9 +29,11 @@ def resolve_names(reports: DataFrame, roster: DataFrame, overrides: DataFrame) -
     people = (roster.withColumn("key", name_key(F.col("player")))
               .groupBy(*season, "team", "key").agg(F.min(F.struct("player_id", "player")).alias("_p"))
               .select(*season, "team", "key", "_p.*"))
+    people = settle(people, "people")  # three lookups read it, and its keys come from Python
     # Keys are worked out once per spelling, and the answer joins back by spelling.
     spelled = (reports.groupBy(*season, "team", "report_name").agg(F.min("report_last_name").alias("last_name"))
                .withColumns({"key": name_key(F.col("report_name")), "last_key": name_key(F.col("last_name"))}))
+    spelled = settle(spelled, "spelled")
     names = (spelled.groupBy(*season, "team", "key").agg(F.min_by("last_key", "last_name").alias("last_key"))
              .withColumn("last_key", F.nullif("last_key", F.lit(""))))
     # Every suffix of a name's words, so that last names of several words match too.

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,22 +27,28 @@ def build_session(master: str | None = None, app: str = "icelens", **extra: str)
     return builder.getOrCreate()
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor sees: ``spark.checkpoint.dir``.
+#: Where this run writes, below the shared folder; ``clear`` removes it.
+RUN = f"icelens-{uuid.uuid4().hex}"
+_chosen: dict[str, str] = {}
 
-    Only a local master may fall back to a temporary folder of this machine.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _local_folder()
+
+def use_folder(path: str) -> None:
+    """Set the shared folder for sessions that do not name one in ``spark.checkpoint.dir``."""
+    _chosen["folder"] = path
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """This run's folder below ``spark.checkpoint.dir``, which every executor sees, or below the one of ``use_folder``."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _chosen.get("folder")
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{folder.rstrip('/')}/{RUN}"
 
 
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="icelens-")
+def clear(spark: SparkSession) -> None:
+    """Remove what this run has settled. Frames that were read from it can no longer be used."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:

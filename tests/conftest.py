@@ -7,11 +7,12 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from icelens.session import build_session
     session = build_session("local[4]", "tests", **{
         "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g", "spark.ui.enabled": "false",
-        "spark.ui.showConsoleProgress": "false"})
+        "spark.ui.showConsoleProgress": "false",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
