@@ -104,13 +104,15 @@ def _meet(plain: DataFrame) -> tuple[DataFrame, DataFrame]:
     return plain.join(buckets, ["part", "own"]), met.drop("n_plain").join(buckets, ["part", "own"])
 
 
-def _pairs(members: DataFrame, others: DataFrame) -> DataFrame:
-    """(a, b): all pairs in small buckets with equal segments or segments one bit apart."""
+def _pairs(members: DataFrame, others: DataFrame, near: Column | None = None) -> DataFrame:
+    """(a, b): all pairs, ``near`` ones only if given, in small buckets with equal segments or segments one bit apart."""
+    near = F.lit(True) if near is None else near
     few, some = members.where("small"), others.where("small")
     left = few.select("part", "own", F.col("fp").alias("a"))
-    equal = left.join(few.select("part", "own", F.col("fp").alias("b")), ["part", "own"]).where(F.col("a") < F.col("b"))
-    apart = left.join(some.select("part", "own", F.col("fp").alias("b")), ["part", "own"])
-    return equal.select("a", "b").union(apart.select("a", "b"))
+    equal = left.join(few.select("part", "own", F.col("fp").alias("b")), ["part", "own"]).where((F.col("a") < F.col("b")) & near)
+    apart = left.join(some.select("part", "own", F.col("fp").alias("b")), ["part", "own"]).where(near)
+    # written one by one: a union of joins over the same keys can fail when their partitions are merged at run time
+    return settle(equal.select("a", "b"), "simhash-equal").union(settle(apart.select("a", "b"), "simhash-apart"))
 
 
 def links(nodes: DataFrame) -> DataFrame:
@@ -119,8 +121,8 @@ def links(nodes: DataFrame) -> DataFrame:
     ``nodes``: distinct fingerprints ``fp`` (long). Between members of small buckets every pair is listed.
     """
     members, others = _meet(_segments(nodes))
-    pairs = _pairs(members, others).where(_distance(F.col("a"), F.col("b")) <= MOST_BITS)
-    return pairs.union(_hub_links(members.where("not small"), others.where("not small")))
+    near = _distance(F.col("a"), F.col("b")) <= MOST_BITS
+    return _pairs(members, others, near).union(settle(_hub_links(members.where("not small"), others.where("not small")), "simhash-hubs"))
 
 
 def _hub_links(members: DataFrame, others: DataFrame) -> DataFrame:
@@ -142,7 +144,7 @@ def _hub_links(members: DataFrame, others: DataFrame) -> DataFrame:
         return (df.join(centre, ["part", "own", "hub"]).where(F.col("a") != F.col("fp"))
                 .select("a", F.col("fp").alias("b")).distinct())
 
-    equal = starred(at_hubs(members, 2, F.lit(True)))
+    equal = settle(starred(at_hubs(members, 2, F.lit(True))), "simhash-stars")
     both = at_hubs(members, 1, F.lit(True)).unionByName(
         at_hubs(others, 1, F.lit(False)).withColumn("close", F.lit(None).cast("long")))
     return equal.union(starred(both))
@@ -238,7 +240,7 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     large = members.where("not small").unionByName(others.where("not small"))
     centre = large.groupBy("part", "own").agg(F.min("fp").alias("a"))
     stars = large.join(centre, ["part", "own"]).select("a", F.col("fp").alias("b"))
-    pairs = _pairs(members, others).union(stars).where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = _pairs(members, others).union(settle(stars, "similar-stars")).where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     wide = nodes.select("node", "wide")
     near = pairs.join(wide.toDF("a", "x"), "a").join(wide.toDF("b", "y"), "b")
     apart = F.aggregate(F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, d: s + d)
