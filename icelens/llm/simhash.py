@@ -101,7 +101,9 @@ def _meet(plain: DataFrame) -> tuple[DataFrame, DataFrame]:
     buckets = settle(sizes.where("n_plain > 1").join(reached, ["part", "own"], "full").select(
         "part", "own", ((F.coalesce("n_plain", F.lit(1)) <= SMALL_BUCKET)
                         & (F.coalesce("n_variants", F.lit(0)) <= SMALL_BUCKET)).alias("small")), "simhash-buckets")
-    return plain.join(buckets, ["part", "own"]), met.drop("n_plain").join(buckets, ["part", "own"])
+    # written, as joins over the same keys can fail in a union when their partitions are merged at run time
+    return (settle(plain.join(buckets, ["part", "own"]), "simhash-members"),
+            settle(met.drop("n_plain").join(buckets, ["part", "own"]), "simhash-others"))
 
 
 def _pairs(members: DataFrame, others: DataFrame, near: Column | None = None) -> DataFrame:
@@ -111,7 +113,6 @@ def _pairs(members: DataFrame, others: DataFrame, near: Column | None = None) ->
     left = few.select("part", "own", F.col("fp").alias("a"))
     equal = left.join(few.select("part", "own", F.col("fp").alias("b")), ["part", "own"]).where((F.col("a") < F.col("b")) & near)
     apart = left.join(some.select("part", "own", F.col("fp").alias("b")), ["part", "own"]).where(near)
-    # written one by one: a union of joins over the same keys can fail when their partitions are merged at run time
     return settle(equal.select("a", "b"), "simhash-equal").union(settle(apart.select("a", "b"), "simhash-apart"))
 
 
@@ -160,14 +161,14 @@ def components(edges: DataFrame) -> DataFrame:
 
     def star(pairs: DataFrame, large: bool) -> DataFrame:
         # pairs (a, b) with a > b
-        both = pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        if large:
-            both = both.union(pairs.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        joined = both.join(low, "u")
-        out = joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b")) if large else (
-            joined.select(F.col("v").alias("a"), F.col("m").alias("b")).union(joined.select(F.col("u").alias("a"), F.col("m").alias("b"))))
-        return out.where("a != b").distinct()
+        u, v, m = F.col("u"), F.col("v"), F.col("m")
+        down = F.struct(F.col("a").alias("u"), F.col("b").alias("v"))
+        up = F.struct(F.col("b").alias("u"), F.col("a").alias("v"))
+        both = pairs.select(F.explode(F.array(down, up) if large else F.array(down)).alias("e")).select("e.*")
+        low = both.groupBy("u").agg(F.least(F.min("v"), u).alias("m"))
+        to_lowest = [F.struct(x.alias("a"), m.alias("b")) for x in ([v] if large else [v, u])]
+        joined = both.join(low, "u").where(v > u if large else F.lit(True))
+        return joined.select(F.explode(F.array(*to_lowest)).alias("e")).select("e.*").where("a != b").distinct()
 
     while True:
         after = settle(star(star(edges, True), False), "links")
