@@ -33,8 +33,14 @@ TEAM_NAME_ALIASES = (
 )
 
 
+def log_spaced(low: float, high: float, n: int) -> tuple:
+    """``n`` values from 10**low to 10**high, evenly spaced in their logarithm."""
+    return tuple(10 ** (low + (high - low) * i / (n - 1)) for i in range(n))
+
+
 @dataclass(frozen=True)
 class Rules:
+    # All numbers below are those the results depend on.
     # clock
     period_seconds: int = 1200
     max_skaters: int = 6
@@ -49,7 +55,7 @@ class Rules:
     high_danger: float = 0.08
     medium_danger: float = 0.02
     first_3v3_overtime_year: int = 2015
-    # xG training
+    # xG training: fixed candidates
     min_rows_per_strength: int = 500
     xg_folds: int = 5
     high_volume: tuple = ("5v5", "5v4", "4v5")
@@ -66,11 +72,11 @@ class Rules:
         {"maxDepth": 6, "stepSize": 0.03, "maxIter": 500},
         {"maxDepth": 8, "stepSize": 0.03, "maxIter": 500},
     )
-    # ridge
+    # ridge: fixed penalties
     rate_cap: float = 50.0
     ridge_folds: int = 5
-    alphas: tuple = tuple(10 ** (4.5 * i / 19) for i in range(20))
-    alphas_special: tuple = tuple(10 ** (-1.5 + 6.0 * i / 23) for i in range(24))
+    alphas: tuple = log_spaced(0.0, 4.5, 20)
+    alphas_special: tuple = log_spaced(-1.5, 4.5, 24)
     context_alpha: float = 3.0
     prior_seasons: int = 2
     prior_minutes: dict = field(default_factory=lambda: {"5v5": 200.0, "5v4": 50.0, "4v5": 50.0})
@@ -92,7 +98,7 @@ class Rules:
     great_start: float = 1.5
     quality_start: float = 0.0
     awful_start: float = -1.5
-    # ranking
+    # ranking: fixed season lengths, thresholds and season weights
     season_games: dict = field(default_factory=lambda: {
         "2009-2010": 82, "2010-2011": 82, "2011-2012": 82, "2012-2013": 48, "2013-2014": 82,
         "2014-2015": 82, "2015-2016": 82, "2016-2017": 82, "2017-2018": 82, "2018-2019": 82,

@@ -33,6 +33,7 @@ def danger(xg: Column, rules: Rules = DEFAULT_RULES) -> Column:
 
 
 def role(position: Column, gp: Column, toi: Column, season_games: Column) -> Column:
+    # The limits of the roles.
     share = F.try_divide(gp, season_games)
     average = F.try_divide(toi, gp)
     goalie = (F.when(share >= 0.60, "Starter").when(share >= 0.50, "Tandem (1A)")

@@ -8,11 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from icelens.functions import clock, geometry, labels, text
-from icelens.operators import ranking
+from icelens.operators import ranking, stints
 from icelens.operators.ordered import attach_previous
 from icelens.operators.resolve import resolve_names
 from icelens.plans import cards, rankings
-from icelens.sources import feeds
+from icelens.sources import feeds, schemas
 from icelens.sources.tables import TableStore
 from icelens.streaming import incremental
 
@@ -165,3 +165,37 @@ def test_incremental_load_resumes(spark, tmp_path):
     incremental.append_new(ids, later, store, "goals", "game_id")
     assert sorted((r["game_id"], r["v"]) for r in store.load("goals", first.schema).collect()) == [(0, 1), (1, 1), (1, 2), (4, 7)]
     assert sorted(r["game_id"] for r in store.load("goals_no_data", ids.schema).collect()) == [2, 3, 5]
+
+
+@pytest.mark.parametrize("name", sorted(schemas.TABLES))
+def test_typed_table_survives_and_prunes(spark, tmp_path, name):
+    kind, store = schemas.schema(name), TableStore(spark, str(tmp_path))
+    cut = "season" in kind.fieldNames()
+    row = spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in kind])
+    rows = row.withColumn("season", F.explode(F.array(F.lit("2020-2021"), F.lit("2021-2022")))).select(kind.fieldNames()) if cut else row
+    store.save(rows, name)
+    got = store.load(name, season="2021-2022") if cut else store.load(name)
+    assert {f.name: f.dataType for f in got.schema} == {f.name: f.dataType for f in kind} and got.count() == 1
+    if cut:
+        plan = got._jdf.queryExecution().toString()
+        assert "2021-2022" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+
+
+def test_goalies_are_flagged_by_season(spark):
+    shifts = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "season string, player_id long")
+    roster = spark.createDataFrame([("a", 1, "G"), ("a", 1, "G"), ("a", 2, "D"), ("b", 2, "G")], "season string, player_id long, position string")
+    assert sorted(map(tuple, stints.flag_goalies(shifts, roster).collect())) == [("a", 1, True), ("a", 2, False), ("b", 1, False)]
+
+
+def test_card_lookup_takes_the_player_not_the_name(spark):
+    cards_ = spark.createDataFrame([("s", "F", 1, "Namesake"), ("s", "F", 2, "Namesake"), ("t", "F", 2, "Namesake")], "season string, position string, player_id long, player string")
+    assert [r.player_id for r in cards.lookup(cards_, 2, "s", "F").collect()] == [2]
+
+
+def test_report_rows_follow_their_own_heading(spark):
+    page = ("<table><tr><td>8 Ó'Brien-Smith, Jean Paul</td></tr><tr><td>1 2 0:05 / 19:55 1:05 / 18:55 1:00</td></tr>"
+            "<tr><td>not 12 a, heading</td></tr><tr><td>Smith, J</td></tr><tr><td>123 Long, Number</td></tr>"
+            "<tr><td>31 Štefan,&nbsp;Łukasz</td></tr><tr><td>2 3 10:00 / 10:00 11:30 / 8:30 1:30</td></tr></table>")
+    got = feeds.html_shifts(spark.createDataFrame([("s", 1, "T", 1, page)], "season string, game_id long, team string, doc_no long, html string")).collect()
+    assert [(r.report_name, r.report_last_name, r.period, r.start_time, r.end_time, r.duration) for r in got] == [
+        ("Jean Paul Ó'Brien-Smith", "Ó'Brien-Smith", 2, "00:05", "01:05", "01:00"), ("Łukasz Štefan", "Štefan", 3, "10:00", "11:30", "01:30")]
