@@ -245,6 +245,16 @@ def _(spark, folder):
     return rankings.rank_scores(rounded(rankings.weighted_scores(scores, RULES)))
 
 
+@register("weighted_goalie_ranking", "season player_id:l position all_players:l " + score_spec("goalie", 9) + " "
+          + rank_spec(SCORES["goalie"]), ranked_sql("(SELECT season, player_id, position, "
+          + ", ".join(f"ROUND({a}_score, 6) AS {a}_score" for a in SCORES["goalie"])
+          + f" FROM ({weighted_sql('goalie_round_o', SCORES['goalie'])}))", SCORES["goalie"]))
+def _(spark, folder):
+    bench = Bench(spark, folder)
+    scores = settle(rounded(bench.goalie_scores(bench.goalies())), "scores")
+    return rankings.rank_scores(rounded(rankings.weighted_scores(scores, RULES)))
+
+
 @register("history_arrays", "season player_id:l evo_history evd_history", """
 WITH y AS (SELECT season, player_id, position, evo_pct, evd_pct FROM (""" + ranked_sql(
     "(SELECT season, player_id, position, evo_rapm AS evo_score, evd_rapm AS evd_score FROM ratings_v JOIN roster_v USING (season, player_id))",
