@@ -111,15 +111,20 @@ def worker_encoder(path: str) -> Encoder:
     return kept[path]
 
 
-def pack(numbers: np.ndarray) -> tuple[bytes, bytes]:
-    """(control bytes, data bytes) of numbers below 2 ** 32."""
+def pack(numbers: np.ndarray, cuts: np.ndarray) -> tuple[list[bytes], list[bytes]]:
+    """(control bytes, data bytes) of each run of ``numbers`` (below 2 ** 32) between neighbouring ``cuts``."""
     wide = numbers.astype("<u4")
     extra = (wide > 0xFF).astype(np.uint8) + (wide > 0xFFFF) + (wide > 0xFFFFFF)
-    codes = np.zeros(-(-len(wide) // 4) * 4, dtype=np.uint8)
-    codes[:len(wide)] = extra
-    control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], dtype=np.uint8)).sum(axis=1, dtype=np.uint8)
-    keep = np.arange(4) <= extra[:, None]
-    return control.tobytes(), wide.view(np.uint8).reshape(-1, 4)[keep].tobytes()
+    data = wide.view(np.uint8).reshape(-1, 4)[np.arange(4) <= extra[:, None]].tobytes()
+    ends = np.concatenate([[0], np.cumsum(extra, dtype=np.int64)])[cuts] + cuts
+    # every run begins a control byte of its own
+    sizes = -(-np.diff(cuts) // 4)
+    starts = np.cumsum(sizes) - sizes
+    codes = np.zeros(4 * int(sizes.sum()), dtype=np.uint8)
+    codes[np.arange(len(wide)) + np.repeat(4 * starts - cuts[:-1], np.diff(cuts))] = extra
+    control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], dtype=np.uint8)).sum(axis=1, dtype=np.uint8).tobytes()
+    return ([control[a:a + n] for a, n in zip(starts.tolist(), sizes.tolist())],
+            [data[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())])
 
 
 #: For each control byte the bytes that its four numbers take.
@@ -154,6 +159,13 @@ def encoded(docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "
         encode, "doc_id long, ids binary")
 
 
+def _flat(values: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a binary array one after the other, and where each value begins and the last one ends."""
+    values = pa.array(values.to_pylist(), pa.large_binary())
+    cuts = np.frombuffer(values.buffers()[1], dtype=np.int64)[:len(values) + 1] // kind.itemsize
+    return np.frombuffer(values.buffers()[2] or b"", dtype=kind), cuts
+
+
 def _kind(tokenizer: str) -> tuple[np.dtype, int]:
     from tokenizers import Tokenizer
     size = Tokenizer.from_file(tokenizer).get_vocab_size(with_added_tokens=True)
@@ -173,8 +185,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str) -> DataFrame:
     def count(batches):
         seen = np.zeros(size, dtype=np.int64)
         for batch in batches:
-            for value in batch.column("ids"):
-                seen += np.bincount(np.frombuffer(value.as_buffer(), dtype=kind), minlength=size)
+            seen += np.bincount(_flat(batch.column("ids"), kind)[0], minlength=size)
         used = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(seen[used])], ["id", "n"])
 
@@ -192,12 +203,13 @@ def write(docs: DataFrame, tokenizer: str, folder: str) -> DataFrame:
         shard = TaskContext.get().partitionId()
         path, out, n_docs, n_ids = f"{folder}/{shard:06d}-{uuid.uuid4().hex}", None, 0, 0
         for batch in batches:
-            for doc, value in zip(batch.column("doc_id").to_pylist(), batch.column("ids")):
-                out = out or opened(path, "w")
-                numbers = rank[np.frombuffer(value.as_buffer(), dtype=kind)]
-                control, data = pack(numbers)
-                out.write(struct.pack(HEAD, doc or 0, doc is None, len(numbers), len(data)) + control + data)
-                n_docs, n_ids = n_docs + 1, n_ids + len(numbers)
+            out = out or opened(path, "w")
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(at, TEXTS_AT_ONCE)
+                flat, cuts = _flat(part.column("ids"), kind)
+                for doc, n, control, data in zip(part.column("doc_id").to_pylist(), np.diff(cuts).tolist(), *pack(rank[flat], cuts)):
+                    out.write(struct.pack(HEAD, doc or 0, doc is None, n, len(data)) + control + data)
+                n_docs, n_ids = n_docs + part.num_rows, n_ids + len(flat)
         if out:
             out.close()
             yield pa.RecordBatch.from_pydict({"shard": [shard], "path": [path], "n_docs": [n_docs], "n_ids": [n_ids]})

@@ -171,10 +171,10 @@ def test_mixture(spark, messy, empty, monkeypatch):
 
 def test_packing_round_trip():
     rnd = np.random.default_rng(3)
-    for n in (0, 1, 3, 4, 5, 1000):
-        numbers = (rnd.integers(0, 2, n) * rnd.integers(0, 1 << 32, n) >> rnd.integers(0, 32, n)).astype(np.uint32)
-        control, data = tokenbin.pack(numbers)
-        assert len(control) == -(-n // 4) and tokenbin.unpack(control, data, n).tolist() == numbers.tolist()
+    runs = [(rnd.integers(0, 2, n) * rnd.integers(0, 1 << 32, n) >> rnd.integers(0, 32, n)).astype(np.uint32) for n in (0, 1, 3, 4, 0, 5, 1000, 0)]
+    cuts = np.concatenate([[0], np.cumsum([len(r) for r in runs])])
+    for run, control, data in zip(runs, *tokenbin.pack(np.concatenate(runs), cuts), strict=True):
+        assert len(control) == -(-len(run) // 4) and tokenbin.unpack(control, data, len(run)).tolist() == run.tolist()
 
 
 def test_encoder_equals_the_library():
