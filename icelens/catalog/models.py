@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import dataclasses
+import uuid
 
 from pyspark.sql import DataFrame, functions as F
 
 from icelens.catalog.intervals import CONTEXT_SQL, context_stints
 from icelens.catalog.registry import register
+from icelens.catalog.scalars import XG_SQL
 from icelens.catalog.totals import skater_table, tables
 from icelens.operators import aggregate as agg, ridge, xg
 from icelens.operators.context import CONTEXT_COLUMNS
 from icelens.operators.folds import group_folds
 from icelens.operators.perspective import even_pooled_rows
 from icelens.plans import ratings, stats
-from icelens.session import settle
+from icelens.session import settle, shared_folder
 from icelens.sources.league_views import LEAGUE_RULES, league
 
 # Penalties, folds and the least number of rows are those of the library. Trees are fewer and shallower than
@@ -69,27 +71,53 @@ def _(spark, folder):
     return ridge.gram(rows, ["season"], CONTEXT_COLUMNS, 5, F.pmod(F.col("game_id"), F.lit(5)))
 
 
-@register("ridge_fit", "season feature:l coef:r4 alpha:r6 cv_r2:r4")
+# Fits have no SQL. What is compared: which features, players, rows and folds they cover, and that they are optimal or in bounds.
+@register("ridge_fit", "season feature:l solved:b", f"""
+WITH d AS ({DESIGN_SQL}) SELECT DISTINCT season, feature, TRUE AS solved FROM d
+UNION ALL SELECT DISTINCT season, {ridge.INTERCEPT}, TRUE FROM d""")
 def _(spark, folder):
     rows = settle(pooled(spark, folder), "rows")
-    return ridge.fit(rows, ["season"], "xg_for", CONTEXT_COLUMNS, RULES.alphas, rules=RULES)
-
-
-RATED = "season player_id:l evo_rapm:r4 evd_rapm:r4 ppl_rapm:r4 pkl_rapm:r4"
-
-
-@register("rapm_goals", RATED)
+    fitted = settle(ridge.fit(rows, ["season"], "xg_for", CONTEXT_COLUMNS, RULES.alphas, rules=RULES), "fit")
+    sums = ridge.gram(ridge.with_response(rows, "xg_for", RULES), ["season"], CONTEXT_COLUMNS, RULES.ridge_folds)
+    sums = settle(sums.select("season", "i", "j", sum((F.col(f"g{k}") for k in range(1, RULES.ridge_folds)), F.col("g0")).alias("g")), "sums")
+    # the normal equations: sum_j g_ij b_j + penalty_i b_i = g_iy for every feature i
+    both = sums.union(sums.where("i <> j").select("season", F.col("j").alias("i"), F.col("i").alias("j"), "g"))
+    side = both.join(fitted.select("season", F.col("feature").alias("j"), "coef"), ["season", "j"], "left")
+    right = F.col("j") == ridge.RESPONSE
+    left = (side.groupBy("season", F.col("i").alias("feature"))
+            .agg(F.sum(F.when(~right, F.col("g") * F.col("coef"))).alias("lhs"), F.sum(F.when(right, F.col("g"))).alias("rhs"),
+                 F.sum(F.abs("g")).alias("size")))
+    penalty = F.when(F.col("feature") >= 0, F.col("alpha")).when(F.col("feature") == ridge.INTERCEPT, 0.0).otherwise(RULES.context_alpha)
+    gap = F.abs(F.col("lhs") + penalty * F.col("coef") - F.coalesce("rhs", F.lit(0.0)))
+    return fitted.join(left, ["season", "feature"]).withColumn("solved", gap <= 1e-6 * (1 + F.col("size")))
+
+
+def _rated_sql(even: str) -> str:
+    return f"""
+SELECT season, player_id, bool_or(even) AS even, bool_or(NOT even) AS special FROM (
+ SELECT season, own = opp AS even, unnest(list_concat(skaters, others)) AS player_id FROM sides_o
+ WHERE own_g AND opp_g AND ((own = opp AND own IN ({even})) OR (own = 5 AND opp = 4))) GROUP BY ALL"""
+
+
+def rated(scores: DataFrame) -> DataFrame:
+    """Which parts of a player's rating there are; a value that is no finite number counts as missing."""
+    def there(name: str):
+        return F.coalesce(F.abs(name) < 1e6, F.lit(False))
+    return scores.withColumns({"even": there("evo_rapm") & there("evd_rapm"), "special": there("ppl_rapm") & there("pkl_rapm")})
+
+
+@register("rapm_goals", "season player_id:l even:b special:b", _rated_sql("5"))
 def _(spark, folder):
-    return ratings.goal_ratings(settle(context_stints(league(spark, folder)), "stints"), RULES)
+    return rated(ratings.goal_ratings(settle(context_stints(league(spark, folder)), "stints"), RULES))
 
 
-@register("rapm_xg", RATED)
+@register("rapm_xg", "season player_id:l even:b special:b", _rated_sql("3, 4, 5"))
 def _(spark, folder):
     view = league(spark, folder)
     stints = settle(context_stints(view), "stints")
     minutes = settle(agg.toi_totals(skater_table(view)).select("season", "player_id", "situation", "toi"), "minutes")
     seasons = [r["season"] for r in stints.select("season").distinct().collect()]
-    return ratings.chained_ratings(stints, minutes, seasons, RULES)
+    return rated(ratings.chained_ratings(stints, minutes, seasons, RULES))
 
 
 def xg_table(spark, folder) -> DataFrame:
@@ -108,18 +136,27 @@ def _(spark, folder):
     return group_folds(shots, "game_id", RULES.ridge_folds).groupBy("game_id", "fold").agg(F.count("*").alias("n"))
 
 
-@register("xg_oof", "season game_id:l seq:l fold:l label:r1 xg:r4")
+def inside(scored: DataFrame) -> DataFrame:
+    return scored.withColumn("inside", (F.col("xg") > 0) & (F.col("xg") < 1))
+
+
+@register("xg_oof", "season game_id:l seq:l fold:l label:r1 inside:b", f"""
+WITH x AS ({XG_SQL}), n AS (SELECT season, COUNT(*) AS n FROM x GROUP BY season),
+ f AS (SELECT season, row_number() OVER (ORDER BY n DESC, season) - 1 AS place, GREATEST(2, LEAST(5, COUNT(*) OVER ())) AS used FROM n)
+SELECT x.season, game_id, seq, CASE WHEN (place // used) % 2 = 0 THEN place % used ELSE used - 1 - place % used END AS fold, goal AS label, TRUE AS inside
+FROM x JOIN f USING (season)""")
 def _(spark, folder):
     rows = settle(group_folds(xg.prepared(xg_table(spark, folder)), "season", RULES.xg_folds), "shots")
-    return xg.out_of_fold(rows, RULES.xg_grid[0], ["season", "game_id", "seq", "fold", "label"])
+    return inside(xg.out_of_fold(rows, RULES.xg_grid[0], ["season", "game_id", "seq", "fold", "label"]))
 
 
-@register("xg_grid", "n_rows:l cv_auc:r4 max_depth:l worst:r4")
+@register("xg_grid", "n_rows:l candidates:l auc_in_bounds:b calibrated:b",
+          f"SELECT COUNT(*) AS n_rows, {len(RULES.xg_grid)} AS candidates, TRUE AS auc_in_bounds, TRUE AS calibrated FROM ({XG_SQL})")
 def _(spark, folder):
     _, report = xg.grid_search(settle(xg.prepared(xg_table(spark, folder)), "shots"), RULES.xg_grid, RULES.xg_folds)
     worst = max(v for v in report["calibration"].values() if v is not None)
-    return spark.createDataFrame([(report["n_rows"], report["cv_auc"], report["params"]["maxDepth"], worst)],
-                                 "n_rows long, cv_auc double, max_depth long, worst double")
+    return spark.createDataFrame([(report["n_rows"], len(report["candidates"]), 0.4 < report["cv_auc"] < 1, worst < 0.5)],
+                                 "n_rows long, candidates long, auc_in_bounds boolean, calibrated boolean")
 
 
 def _trained(spark, folder):
@@ -127,18 +164,18 @@ def _trained(spark, folder):
     return table, xg.train(table, RULES)
 
 
-@register("xg_train", "strength n_rows:l cv_auc:r4")
+@register("xg_train", "strength n_rows:l auc_in_bounds:b", f"""
+SELECT strength, COUNT(*) AS n_rows, TRUE AS auc_in_bounds FROM ({XG_SQL}) WHERE strength <> 'unknown' GROUP BY strength
+HAVING COUNT(*) >= {RULES.min_rows_per_strength}""")
 def _(spark, folder):
     _, models = _trained(spark, folder)
-    rows = [(s, r["n_rows"], r["cv_auc"]) for s, (_, r) in models.items()]
-    return spark.createDataFrame(rows, "strength string, n_rows long, cv_auc double")
+    rows = [(s, r["n_rows"], 0.4 < r["cv_auc"] < 1) for s, (_, r) in models.items()]
+    return spark.createDataFrame(rows, "strength string, n_rows long, auc_in_bounds boolean")
 
 
-@register("xg_score", "season game_id:l seq:l strength xg:r4")
+@register("xg_score", "season game_id:l seq:l strength inside:b", f"SELECT season, game_id, seq, strength, TRUE AS inside FROM ({XG_SQL})")
 def _(spark, folder):
-    from icelens.session import shared_folder
-    import uuid
     table, models = _trained(spark, folder)
     path = f"{shared_folder(spark)}/xg-{uuid.uuid4().hex}"
     xg.save(models, path, spark)
-    return xg.score(table, xg.load(path, spark), ["season", "game_id", "seq", "strength"])
+    return inside(xg.score(table, xg.load(path, spark), ["season", "game_id", "seq", "strength"]))
