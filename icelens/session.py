@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +31,7 @@ def build_session(master: str | None = None, app: str = "icelens", **extra: str)
 #: Where this run writes, below the shared folder; ``clear`` removes it.
 RUN = f"icelens-{uuid.uuid4().hex}"
 _chosen: dict[str, str] = {}
+_scopes: list[str] = []
 
 
 def use_folder(path: str) -> None:
@@ -42,11 +44,21 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or _chosen.get("folder")
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return f"{folder.rstrip('/')}/{RUN}"
+    return "/".join([folder.rstrip("/"), RUN, *_scopes])
+
+
+@contextmanager
+def scope(name: str):
+    """Within it, the shared folder is the folder ``name`` of the run."""
+    _scopes.append(name)
+    try:
+        yield
+    finally:
+        _scopes.remove(name)
 
 
 def clear(spark: SparkSession) -> None:
-    """Remove what this run has settled. Frames that were read from it can no longer be used."""
+    """Remove what this run has settled, within a scope only what was settled there. Frames that were read from it can no longer be used."""
     path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
     path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
