@@ -262,7 +262,10 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 
 def unique_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of every group of similar(), with the columns of ``docs``: the one with the smallest doc_id."""
-    kept = similar(docs, doc_id, text).where("keep").select(F.col("doc_id").alias("_id"), F.col("node").alias("_kept"))
+    # one shuffle by (text, id): a text's copies are spread by their ids, and repeated rows meet in the same place
+    kept = similar(docs, doc_id, text).where("keep").select(
+        F.xxhash64("node", "doc_id").alias("_pick"), F.col("node").alias("_kept"))
     marked = docs.withColumn("_node", F.xxhash64(text_of(text)))
-    return (marked.join(kept, (F.col("_node") == F.col("_kept")) & F.col(f"`{doc_id}`").eqNullSafe(F.col("_id")), "left_semi")
-            .dropDuplicates(["_node", doc_id]).drop("_node"))
+    marked = marked.withColumn("_picked", F.xxhash64("_node", F.col(f"`{doc_id}`")))
+    return (marked.join(kept, (F.col("_picked") == F.col("_pick")) & (F.col("_node") == F.col("_kept")), "left_semi")
+            .dropDuplicates(["_picked", "_node"]).drop("_node", "_picked"))
