@@ -119,6 +119,23 @@ def test_decontamination_finds_substituted_passages(spark, messy, empty):
     assert decontaminate.flagged(empty, benchmark).count() == 0 and decontaminate.clean_documents(messy, empty.select("item_id", "text")).count() == messy.count()
 
 
+def test_decontamination_finds_every_placement(spark):
+    items, rows = [], []
+    for n in (5, 8, 9, 12, 13, 15):
+        item = [f"i{n}x{k}" for k in range(n)]
+        items.append((n, " ".join(item)))
+        width = min(n, decontaminate.WINDOW)
+        most = width - -(-width * decontaminate.MATCHES // decontaminate.WINDOW)
+        for start in range(n - width + 1):
+            for differ in itertools.combinations(range(width), most):
+                words = ["other" if k in differ else w for k, w in enumerate(item[start:start + width])]
+                rows.append((len(rows), n, " ".join(["before", *words, "after"])))
+                rows.append((len(rows), n, " ".join(words).strip("other ")))  # what differs at the ends is not there
+    docs = spark.createDataFrame(rows, "doc_id long, n long, text string")
+    out = decontaminate.flagged(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert len(out) == len(rows) and [r for r in out if r.item_id != r.n] == []
+
+
 def test_shuffled_index_finds_the_same(spark, monkeypatch):
     rnd = random.Random(12)
     benchmark = spark.createDataFrame([(0, prose(rnd, 30))], "item_id long, text string")
