@@ -11,12 +11,13 @@ large group of near copies) is not joined with itself: its members meet at hubs,
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType
 
 from icelens.llm.common import text_of, words_of
 from icelens.session import settle
@@ -27,9 +28,13 @@ HALF = 32
 #: A bucket up to this size is joined pair by pair. A member of a larger one goes to its hubs, 1 + 32 + 496 rows in the
 #: worst case; so a fingerprint never makes more rows than a fixed number, whatever its bucket holds.
 SMALL_BUCKET = 64
-#: For similar(): 64-bit lanes of a wide fingerprint, bits of it that may differ before shingles are compared, words of a
-#: shingle, and the least Jaccard similarity of shingle sets.
-LANES, WIDE_BITS, SHINGLE, SIMILARITY = 6, 64, 5, 0.8
+#: For similar(): words of a shingle, the least Jaccard similarity of shingle sets, and 64-bit lanes of a set's bit map.
+SHINGLE, SIMILARITY, LANES = 5, 0.8, 8
+#: Texts whose shingles are counted to tell frequent ones, how often is frequent, and the most of them kept. Any order of
+#: shingles gives the same groups; with the frequent ones last, fewer pairs are tried.
+SAMPLE, FREQUENT, MOST_FREQUENT = 20_000, 8, 200_000
+#: Centres of a bucket in the first round after the stars, and by how much they grow each round; parts of a large bucket.
+CENTRES, GROWTH, PARTS = 64, 4, 16
 
 
 def fingerprint(text: str | None, shingle: int) -> int:
@@ -196,22 +201,6 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def wide_fingerprint(text: str | None) -> list[int]:
-    """LANES 64-bit SimHashes of the distinct words of a text. A changed word changes five shingles but one word, so texts
-    of a given shingle similarity differ in far fewer bits than by shingles."""
-    data = set((text or "").encode("utf-8", "surrogatepass").lower().split())
-    if not data:
-        return [0] * LANES
-    hashes = np.array([[xxhash.xxh64_intdigest(w, SEED + k) for k in range(LANES)] for w in data], dtype="<u8")
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(len(data), -1), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * bits > len(data), bitorder="little").view("<i8").tolist()
-
-
-@F.pandas_udf(ArrayType(LongType()))
-def wide_fingerprints(texts: pd.Series) -> pd.Series:
-    return pd.Series([wide_fingerprint(t) for t in texts])
-
-
 def shingle_set(text: Column) -> Column:
     """The distinct shingles of SHINGLE words (A-Z lower-cased) as hashes; fewer words are one shingle, no word none."""
     words = words_of(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
@@ -220,43 +209,116 @@ def shingle_set(text: Column) -> Column:
         lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(SHINGLE)]))))[0]
 
 
+def _prefixes(order: np.ndarray, counts: np.ndarray):
+    """A function of frames (node, set): (node, size, bits, prefix). ``order``: frequent shingles by value, ``counts``: how often.
+
+    Two sets of the least similarity share at least that part of the larger one, so in any common order of shingles both
+    have a shingle in common among their first size - part + 1; those are the prefix. An empty set's prefix is zero.
+    """
+    def one(item) -> tuple:
+        h = np.sort(np.asarray(item, dtype=np.int64))
+        if len(order):
+            at = np.minimum(np.searchsorted(order, h), len(order) - 1)
+            h = h[np.argsort(np.where(order[at] == h, counts[at], 0), kind="stable")]
+        first = h[:len(h) - math.ceil(SIMILARITY * len(h) - 1e-9) + 1] if len(h) else np.zeros(1, dtype=np.int64)
+        bits = np.zeros(64 * LANES, dtype=np.uint8)
+        bits[h.view(np.uint64) % np.uint64(64 * LANES)] = 1
+        return len(h), np.packbits(bits).view("<i8"), first
+
+    def of(frames):
+        for frame in frames:
+            done = pd.DataFrame([one(item) for item in frame["set"]], columns=["size", "bits", "prefix"])
+            yield done.assign(node=frame["node"].to_numpy())[["node", "size", "bits", "prefix"]]
+    return of
+
+
+def _frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The frequent shingles of a sample of ``texts`` (node, text) in the order of their hashes, and their counts."""
+    share = min(1.0, SAMPLE / max(1, texts.count()))
+    some = texts.where(F.pmod(F.xxhash64("node"), F.lit(1_000_000)) < int(share * 1_000_000))
+    found = (some.select(F.explode(shingle_set(F.col("text"))).alias("s")).groupBy("s").agg(F.count("*").cast("int").alias("n"))
+             .where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "s").limit(MOST_FREQUENT).toPandas().sort_values("s"))
+    return found["s"].to_numpy(dtype=np.int64), found["n"].to_numpy(dtype=np.int64)
+
+
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of ``pairs`` whose shingle sets have the least similarity."""
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = settle(texts.join(wanted, "node", "left_semi").select("node", shingle_set(F.col("text")).alias("set")), "similar-sets")
+    both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
+    counted = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("n"), (F.size("x") + F.size("y")).alias("sum"))
+    return settle(counted.where(F.col("n") >= SIMILARITY * (F.col("sum") - F.col("n"))).select("a", "b"), "similar-links")
+
+
+def _linked(rows: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, root) for the nodes of ``rows`` (token, node) that are linked to another of the same token.
+
+    First each token's most shared node is tried with all others. Then, in rounds, more and more of a token's nodes are
+    tried with all others of other components, until the token has one component or every node was tried.
+    """
+    sizes = rows.groupBy("token").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(
+        F.xxhash64("node", F.lit(SEED)).cast("decimal(38,0)")).alias("y")).where("n > 1")
+    # tokens with the same nodes say the same: one of them stays
+    kept = settle(sizes.groupBy("n", "x", "y").agg(F.min("token").alias("token")).select("token", "n"), "similar-tokens")
+    rows = settle(rows.join(kept, "token"), "similar-rows")
+    shared = rows.groupBy("node").agg(F.sum("n").alias("score"))
+    facts = settle(nodes.join(shared, "node").select("node", "size", "bits", (F.col("score") / F.greatest(F.lit(1), "size")).alias("score")), "similar-facts")
+    centre = (rows.join(facts.select("node", "score"), "node").groupBy("token")
+              .agg(F.max(F.struct("score", "node")).alias("best")).select("token", F.col("best.node").alias("a")))
+    tried = rows.join(centre, "token").select("a", F.col("node").alias("b"))
+    links, most = None, CENTRES
+    while True:
+        pairs = tried.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        x, y = (facts.select(F.col("node").alias(k), F.struct("size", "bits").alias(v)) for k, v in (("a", "x"), ("b", "y")))
+
+        def only(u: str, v: str) -> Column:  # at least so many shingles are not in the other set
+            return F.aggregate(F.zip_with(f"{u}.bits", f"{v}.bits", lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))), F.lit(0), lambda s, d: s + d)
+        least, largest = F.least(F.col("x.size") - only("x", "y"), F.col("y.size") - only("y", "x")), F.greatest("x.size", "y.size")
+        pairs = settle(pairs.join(x, "a").join(y, "b").where(least >= SIMILARITY * largest - 1e-9).select("a", "b"), "similar-pairs")
+        new = _verified(pairs, texts)
+        links = new if links is None else links.union(new)
+        roots = settle(components(links), "similar-roots")
+        rooted = rows.join(roots, "node", "left").select("token", "node", "n", F.coalesce("root", "node").alias("root"))
+        before = most // GROWTH if most > CENTRES else 0
+        # of tokens with several components and nodes that were no centres yet
+        open_tokens = rooted.groupBy("token").agg(F.first("n").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where(
+            (F.col("low") != F.col("high")) & (F.col("n") > before)).select("token")
+        rows = settle(rows.join(open_tokens, "token", "left_semi"), "similar-open")
+        if rows.isEmpty():
+            return roots
+        place = F.pmod(F.xxhash64("node", F.lit(SEED + 1)), F.lit(1 << 20)) * F.col("n")
+        members = settle(rows.join(roots, "node", "left").select("token", "node", "n", F.coalesce("root", "node").alias("root"), place.alias("place")), "similar-members")
+        centres = members.where((F.col("place") >= before << 20) & (F.col("place") < most << 20))
+        part = F.when(F.col("n") <= SMALL_BUCKET, 0).otherwise(F.pmod(F.xxhash64("node"), F.lit(PARTS)))
+        every = F.when(F.col("n") <= SMALL_BUCKET, F.array(F.lit(0).cast("long"))).otherwise(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long")))
+        left = centres.select("token", F.explode(every).alias("part"), F.col("node").alias("a"), F.col("root").alias("ra"))
+        right = members.select("token", part.cast("long").alias("part"), F.col("node").alias("b"), F.col("root").alias("rb"))
+        tried = left.join(right, ["token", "part"]).where("ra != rb").select("a", "b")
+        most *= GROWTH
+
+
 def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, node, component_id, keep), one row per row of ``docs``: groups of texts linked by shingle sets of Jaccard
     similarity SIMILARITY or more.
 
-    Candidates are texts that agree, but for one bit, in a segment of the wide fingerprint (of 12 segments one must if at
-    most 23 bits differ; with more bits some still do), all links among them are decided by the sets themselves. In buckets
-    over SMALL_BUCKET only links with the bucket's smallest node are tried; a text is in many buckets. node: 64-bit hash of
-    the text. keep: the row has the smallest doc_id (null last) of its group, then the smallest node.
+    Candidates are texts with a common shingle in their prefixes (see ``_prefixes``), which no pair of that similarity
+    lacks; the sets themselves decide. Pairs that two other links connect already are left out, no others. node: 64-bit
+    hash of the text. keep: the row has the smallest doc_id (null last) of its group, then the smallest node.
     """
-    marked = settle(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), text_of(text).alias("text")).select(
-        "doc_id", F.xxhash64("text").alias("node"), wide_fingerprints("text").alias("wide")), "similar")
-    nodes = settle(marked.groupBy("node").agg(F.first("wide").alias("wide"), F.min(F.struct(
-        F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("first")), "similar-nodes")
-    parts = F.flatten(F.transform("wide", lambda v, k: F.array(
-        F.struct((2 * k).alias("part"), v.bitwiseAND(F.lit(0xFFFFFFFF)).alias("own")),
-        F.struct((2 * k + 1).alias("part"), F.call_function("shiftrightunsigned", v, F.lit(HALF)).alias("own")))))
-    plain = nodes.select(F.col("node").alias("fp"), F.explode(parts).alias("s")).select("fp", "s.part", "s.own", F.lit(0).alias("rest"))
-    members, others = _meet(plain)
-    large = members.where("not small").unionByName(others.where("not small"))
-    centre = large.groupBy("part", "own").agg(F.min("fp").alias("a"))
-    stars = large.join(centre, ["part", "own"]).select("a", F.col("fp").alias("b"))
-    pairs = _pairs(members, others).union(settle(stars, "similar-stars")).where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    wide = nodes.select("node", "wide")
-    near = pairs.join(wide.toDF("a", "x"), "a").join(wide.toDF("b", "y"), "b")
-    apart = F.aggregate(F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, d: s + d)
-    near = settle(near.where(apart <= WIDE_BITS).select("a", "b"), "similar-pairs")
-    wanted = near.select(F.col("a").alias("node")).union(near.select(F.col("b").alias("node"))).distinct()
-    texts = docs.select(text_of(text).alias("text")).withColumn("node", F.xxhash64("text"))
-    sets = settle(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]).select("node", shingle_set(F.col("text")).alias("set")), "similar-sets")
-    both = near.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-    common = F.size(F.array_intersect("x", "y"))
-    linked = both.select("a", "b", common.alias("n"), (F.size("x") + F.size("y")).alias("sum"))
-    roots = components(linked.where(F.col("n") >= SIMILARITY * (F.col("sum") - F.col("n"))).select("a", "b"))
-    rooted = nodes.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
+    marked = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(text_of(text)).alias("node"))
+    firsts = settle(marked.groupBy("node").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("first")), "similar-firsts")
+    texts = docs.select(F.xxhash64(text_of(text)).alias("node"), text_of(text).alias("text"))
+    frequent = _frequent(texts)
+    found = settle(texts.select("node", shingle_set(F.col("text")).alias("set")).mapInPandas(
+        _prefixes(*frequent), "node long, size int, bits array<long>, prefix array<long>"), "similar-prefixes")
+    nodes = settle(found.select("node", "size", "bits").dropDuplicates(["node"]), "similar-nodes")
+    rows = settle(found.select("node", F.explode("prefix").alias("token")).distinct(), "similar-shingles")
+    roots = _linked(rows, nodes, texts.dropDuplicates(["node"]))
+    rooted = firsts.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     best = rooted.groupBy("root").agg(F.min("first").alias("best"))
     named = rooted.join(best, "root").select("node", F.col("best.doc_id").alias("component_id"), F.col("best.node").alias("best_node"))
-    return marked.select("doc_id", "node").join(named, "node").select(
+    return marked.join(named, "node").select(
         "doc_id", "node", "component_id", ((F.col("node") == F.col("best_node")) & F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("keep"))
 
 

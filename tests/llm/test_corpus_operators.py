@@ -99,6 +99,35 @@ def test_unique_documents(spark, messy, empty):
     assert {r.doc_id for r in out} >= set(range(25))
 
 
+def changed(words, places, name):
+    return " ".join(f"{name}{k}" if k in places else w for k, w in enumerate(words))
+
+
+def test_copies_of_one_original_are_one_group(spark):
+    rnd = random.Random(10)
+    text = [f"o{k}" for k in range(100)]
+    rows = [(0, changed(text, rnd.sample(range(100), 2), "x0_")), (2000, " ".join(text))]
+    rows += [(i, changed(text, rnd.sample(range(5, 95), 2), f"x{i}_")) for i in range(1, 1500)]
+    sets = {i: {tuple(t.split()[k:k + 5]) for k in range(96)} for i, t in rows}
+    root = {i for i in sets if len(sets[i] & sets[2000]) >= 0.8 * len(sets[i] | sets[2000])}
+    out = {r.doc_id: r.component_id for r in simhash.similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(root) > 1400 and {out[i] for i in root} == {min(root)}
+
+
+@pytest.mark.parametrize("centres", [64, 1])
+def test_similar_equals_brute_force(spark, monkeypatch, centres):
+    monkeypatch.setattr(simhash, "CENTRES", centres)
+    monkeypatch.setattr(simhash, "SMALL_BUCKET", centres)
+    monkeypatch.setattr(simhash, "FREQUENT", 2 * centres)
+    rnd = random.Random(13)
+    line = [f"l{k}" for k in range(20)]
+    rows = [(i, " ".join(line + [f"{rnd.choice('ab')}{k}" for k in range(rnd.choice([4, 5, 6]))])) for i in range(150)]
+    shingles = {i: {tuple(t.split()[k:k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows}
+    want = groups([i for i, _ in rows], lambda a, b: len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b]))
+    out = {r.doc_id: r.component_id for r in simhash.similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == want and 1 < len(set(want.values())) < 150
+
+
 def test_decontamination_finds_substituted_passages(spark, messy, empty):
     rnd = random.Random(11)
     items = [(i, prose(rnd, 30, [f"w{k}" for k in range(500)])) for i in range(6)] + [(6, "just seven short words stand right here"), (7, "too short"), (None, None)]
