@@ -114,6 +114,16 @@ def test_copies_of_one_original_are_one_group(spark):
     assert len(root) > 1400 and {out[i] for i in root} == {min(root)}
 
 
+def test_block_edits_are_found(spark):
+    rows, cases = [], [(14, 1, 0), (54, 5, 0), (104, 11, 0), (204, 22, 0), (104, 0, 25), (104, 0, 12), (9, 0, 1)]
+    for n, (size, last, added) in enumerate(cases * 12):
+        words = [f"d{n}_{k}" for k in range(size)]
+        rows.append((2 * n, " ".join(words)))
+        rows.append((2 * n + 1, changed(words, range(size - last, size), "y") + "".join(f" z{n}_{k}" for k in range(added))))
+    out = {r.doc_id: r.component_id for r in simhash.similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [i for i, c in out.items() if c != i - i % 2] == []
+
+
 @pytest.mark.parametrize("centres", [64, 1])
 def test_similar_equals_brute_force(spark, monkeypatch, centres):
     monkeypatch.setattr(simhash, "CENTRES", centres)
