@@ -244,7 +244,7 @@ def _frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of ``pairs`` whose shingle sets have the least similarity."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = settle(texts.join(wanted, "node", "left_semi").select("node", shingle_set(F.col("text")).alias("set")), "similar-sets")
+    sets = settle(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]).select("node", shingle_set(F.col("text")).alias("set")), "similar-sets")
     both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
     counted = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("n"), (F.size("x") + F.size("y")).alias("sum"))
     return settle(counted.where(F.col("n") >= SIMILARITY * (F.col("sum") - F.col("n"))).select("a", "b"), "similar-links")
@@ -314,7 +314,7 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         _prefixes(*frequent), "node long, size int, bits array<long>, prefix array<long>"), "similar-prefixes")
     nodes = settle(found.select("node", "size", "bits").dropDuplicates(["node"]), "similar-nodes")
     rows = settle(found.select("node", F.explode("prefix").alias("token")).distinct(), "similar-shingles")
-    roots = _linked(rows, nodes, texts.dropDuplicates(["node"]))
+    roots = _linked(rows, nodes, texts)
     rooted = firsts.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     best = rooted.groupBy("root").agg(F.min("first").alias("best"))
     named = rooted.join(best, "root").select("node", F.col("best.doc_id").alias("component_id"), F.col("best.node").alias("best_node"))
