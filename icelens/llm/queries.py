@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icelens.llm import decontaminate, language, language_model, mixture, piece_counts, quality, secret_scan, simhash, tokenbin, warc
+from icelens.llm import collocations, decontaminate, language, language_model, mixture, piece_counts, quality, secret_scan, simhash, tokenbin, warc
 from icelens.llm.common import table
 
 QUERIES = {}
@@ -91,3 +91,46 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return language_model.held_out_scores(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents").select("text", "lang"))
+
+
+ORACLES["op12_collocations"] = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+lists AS (SELECT lang, [x FOR x IN regexp_split_to_array(piece, '[\\x20\\x09]+') IF x <> ''] AS w FROM pieces),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM lists),
+one AS (SELECT lang, w[i] AS w1, count(*) AS f FROM places GROUP BY ALL),
+two AS (SELECT lang, w[i] AS w1, w[i + 1] AS w2, count(*) AS f FROM places WHERE i < len(w) GROUP BY ALL),
+three AS (SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3, count(*) AS f FROM places WHERE i + 1 < len(w) GROUP BY ALL),
+totals AS (SELECT lang, sum(f) AS n FROM one GROUP BY lang),
+pairs AS (
+  SELECT t.lang, t.w1, t.w2, CAST(NULL AS VARCHAR) AS w3, t.f AS a, x.f AS l, y.f AS r,
+         CAST(1000000 AS HUGEINT) * t.f * t.f // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM two t JOIN one x ON x.lang = t.lang AND x.w1 = t.w1 JOIN one y ON y.lang = t.lang AND y.w1 = t.w2 WHERE t.f >= 10),
+cuts AS (
+  SELECT t.lang, t.w1, t.w2, t.w3, t.f AS a, 1 AS k, x.f AS l, y.f AS r
+  FROM three t JOIN one x ON x.lang = t.lang AND x.w1 = t.w1 JOIN two y ON y.lang = t.lang AND y.w1 = t.w2 AND y.w2 = t.w3 WHERE t.f >= 10
+  UNION ALL
+  SELECT t.lang, t.w1, t.w2, t.w3, t.f, 2, x.f, y.f
+  FROM three t JOIN two x ON x.lang = t.lang AND x.w1 = t.w1 AND x.w2 = t.w2 JOIN one y ON y.lang = t.lang AND y.w1 = t.w3 WHERE t.f >= 10),
+triples AS (
+  SELECT *, CAST(1000000 AS HUGEINT) * a * a // (CAST(l AS HUGEINT) * r) AS score FROM cuts
+  QUALIFY row_number() OVER (PARTITION BY lang, w1, w2, w3 ORDER BY score, k) = 1),
+longer AS (
+  SELECT lang, p.w1 AS w1, p.w2 AS w2, max(a) AS most
+  FROM (SELECT lang, a, unnest([{'w1': w1, 'w2': w2}, {'w1': w2, 'w2': w3}]) AS p FROM triples) GROUP BY ALL),
+kept AS (
+  SELECT p.* FROM pairs p LEFT JOIN longer b ON b.lang = p.lang AND b.w1 = p.w1 AND b.w2 = p.w2
+  WHERE b.most IS NULL OR 100 * b.most < 50 * p.a
+  UNION ALL SELECT lang, w1, w2, w3, a, l, r, score FROM triples),
+ranked AS (
+  SELECT *, concat_ws(' ', w1, w2, w3) AS phrase,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, concat_ws(' ', w1, w2, w3)) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
