@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icelens.llm import collocations, decontaminate, language, language_model, mixture, piece_counts, quality, secret_scan, simhash, tokenbin, warc
+from icelens.llm import (collocations, decontaminate, hard_negatives, language, language_model, mixture, piece_counts, quality, secret_scan,
+                         simhash, tokenbin, url_filter, warc)
 from icelens.llm.common import table
 
 QUERIES = {}
@@ -134,3 +135,81 @@ ranked AS (
 SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
 FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
+
+
+@query
+def op11_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return url_filter.judged(pages, url_filter.rule_table(spark, url_filter.RULES)).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings").withColumn("label", F.when(
+        F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mined(hard_negatives.usable(rows), F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op13_hard_negatives"] = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS same, CAST(list_inner_product(a.q, r.q) AS BIGINT) AS score
+  FROM usable a JOIN usable r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY n.score DESC, n.other_id) AS INTEGER) AS rank,
+       n.other_id AS negative_id, positive_score, n.score AS negative_score
+FROM positives JOIN scores n USING (anchor_id)
+WHERE NOT n.same AND 80 * positive_score <= 100 * n.score AND 100 * n.score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
+
+_UPPER, _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _name(url: str) -> str:
+    return (f"translate(regexp_extract({url}, '(?s)^(.*?://[^/?#]*)', 1), {_UPPER}, {_LOWER})"
+            f" || CASE regexp_extract({url}, '(?s)^.*?://[^/?#]*([^?#]*)', 1) WHEN '' THEN '/'"
+            f" ELSE regexp_extract({url}, '(?s)^.*?://[^/?#]*([^?#]*)', 1) END"
+            f" || regexp_extract({url}, '(?s)^.*?://[^/?#]*[^?#]*([^#]*)', 1)")
+
+
+# Of links in pages, SQL reads those that are whole URLs; relative ones are tested against brute force.
+ORACLES["op11_url_filter"] = f"""
+WITH RECURSIVE rules(verdict, host, path) AS (VALUES {", ".join(str(r) for r in url_filter.RULES)}),
+sites AS (
+  SELECT page_id, html, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), {_UPPER}, {_LOWER}) AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+         CASE WHEN contains(url, '://') THEN {_name("url")} END AS name FROM pages),
+tags AS (
+  SELECT name, unnest(regexp_extract_all(regexp_replace(coalesce(html, ''),
+         '(?is)<!--.*?(?:-->|\\z)|<script\\b.*?(?:</script\\b|\\z)|<style\\b.*?(?:</style\\b|\\z)|<textarea\\b.*?(?:</textarea\\b|\\z)|<title\\b.*?(?:</title\\b|\\z)', '', 'g'),
+         '(?is)<(?:link|meta)\\b[^<>]*>')) AS tag FROM sites WHERE name IS NOT NULL),
+links AS (
+  SELECT name, CASE
+    WHEN regexp_matches(tag, '(?is)^<link') AND regexp_matches(tag, '(?is)\\srel\\s*=\\s*["'']?[^"''>]*\\bcanonical\\b')
+      THEN regexp_extract(tag, '(?is)\\shref\\s*=\\s*["'']?([^"''>\\s]+)', 1)
+    WHEN regexp_matches(tag, '(?is)^<meta') AND regexp_matches(tag, '(?is)\\shttp-equiv\\s*=\\s*["'']?refresh\\b')
+      THEN regexp_extract(tag, '(?is)\\scontent\\s*=\\s*["''][0-9.]*\\s*[;,]\\s*(?:url\\s*=\\s*)?([^"''>]+)', 1) END AS link FROM tags),
+edges AS (SELECT DISTINCT name AS a, {_name("link")} AS b FROM links WHERE contains(link, '://') AND name <> {_name("link")}),
+both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+reached(node, other) AS (SELECT a, a FROM both_ways UNION SELECT r.node, e.b FROM reached r JOIN both_ways e ON e.a = r.other),
+nodes AS (
+  SELECT DISTINCT node, regexp_extract(node, '(?s)^.*?://([^/?#]*)', 1) AS host, regexp_extract(node, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM reached),
+places AS (SELECT host, path FROM sites UNION SELECT host, path FROM nodes),
+fitting AS (
+  SELECT p.host, p.path, r.host || r.path AS rule, r.verdict
+  FROM places p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+  QUALIFY row_number() OVER (PARTITION BY p.host, p.path ORDER BY length(r.host) + length(r.path) DESC, length(r.host) DESC, r.verdict) = 1),
+classes AS (
+  SELECT r.node, CASE WHEN bool_or(f.verdict = 'allow') THEN 'allow' ELSE 'block' END AS verdict
+  FROM reached r JOIN nodes n ON n.node = r.other JOIN fitting f ON f.host = n.host AND f.path = n.path GROUP BY r.node)
+SELECT s.page_id, s.host, s.path, f.rule, coalesce(f.verdict, c.verdict, 'allow') AS verdict
+FROM sites s LEFT JOIN fitting f ON f.host = s.host AND f.path = s.path LEFT JOIN classes c ON c.node = s.name
+"""
