@@ -41,8 +41,9 @@ def closed_form(rows, alpha, prior, context_alpha=3.0):
     return dict(zip(feats, b + b0)), tm - xm @ b
 
 
-@pytest.mark.parametrize("prior", [{}, {2: 0.5, 5: -0.25}])
-def test_ridge_equals_closed_form(spark, prior):
+@pytest.mark.parametrize("dense,prior", [(4_000, {}), (4_000, {2: 0.5, 5: -0.25}), (0, {2: 0.5, 5: -0.25})])
+def test_ridge_equals_closed_form(spark, monkeypatch, dense, prior):
+    monkeypatch.setattr(ridge, "DENSE", dense)
     rows = make_rows()
     frame = spark.createDataFrame(rows, ROWS)
     before = spark.createDataFrame([("s", f, v) for f, v in prior.items()], "season string, feature long, prior double") if prior else None
@@ -53,10 +54,11 @@ def test_ridge_equals_closed_form(spark, prior):
     assert have == pytest.approx(want, abs=1e-9)
 
 
-def test_cross_validation_picks_the_best_mean_r2(spark):
+@pytest.mark.parametrize("dense,alphas", [(4_000, (0.01, 1.0, 100.0)), (0, (20.0, 100.0, 500.0))])
+def test_cross_validation_picks_the_best_mean_r2(spark, monkeypatch, dense, alphas):
+    monkeypatch.setattr(ridge, "DENSE", dense)
     rows = make_rows()
     frame = spark.createDataFrame(rows, ROWS)
-    alphas = (0.01, 1.0, 100.0)
     got = ridge.fit(frame, ["season"], "xg_for", CONTEXT, alphas, fold=F.pmod(F.col("game_id"), F.lit(5))).first()
     scores = {}
     for a in alphas:
