@@ -12,6 +12,7 @@ large group of near copies) is not joined with itself: its members meet at hubs,
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from icelens.llm.common import text_of, words_of
-from icelens.session import settle
+from icelens.session import clear, scope, settle
 
 SEED = 42
 MOST_BITS = 3
@@ -250,44 +251,64 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return settle(counted.where(F.col("n") >= SIMILARITY * (F.col("sum") - F.col("n"))).select("a", "b"), "similar-links")
 
 
-def _linked(rows: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """(node, root) for the nodes of ``rows`` (token, node) that are linked to another of the same token.
+def _shared(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, facts): the (token, node, n) of tokens that several texts have, and (node, size, bits, score) of their nodes.
 
-    First each token's most shared node is tried with all others. Then, in rounds, more and more of a token's nodes are
-    tried with all others of other components, until the token has one component or every node was tried.
+    Most tokens are one text's alone and are gone before anything is written. ``found``: (node, size, bits, prefix), one row
+    a node. Tokens with the same nodes say the same: one of them stays. score: how shared the tokens of a node are.
     """
-    sizes = rows.groupBy("token").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(
-        F.xxhash64("node", F.lit(SEED)).cast("decimal(38,0)")).alias("y")).where("n > 1")
-    # tokens with the same nodes say the same: one of them stays
-    kept = settle(sizes.groupBy("n", "x", "y").agg(F.min("token").alias("token")).select("token", "n"), "similar-tokens")
-    rows = settle(rows.join(kept, "token"), "similar-rows")
+    every = found.select("node", F.explode("prefix").alias("token"))
+    common = settle(every.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "similar-counts")
+    rows = settle(every.join(common, "token"), "similar-shingles")
+    kept = (rows.groupBy("token", "n").agg(F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(SEED))).alias("y"))
+            .groupBy("n", "x", "y").agg(F.min("token").alias("token")).select("token"))
+    rows = settle(rows.join(kept, "token", "left_semi"), "similar-rows")
     shared = rows.groupBy("node").agg(F.sum("n").alias("score"))
-    facts = settle(nodes.join(shared, "node").select("node", "size", "bits", (F.col("score") / F.greatest(F.lit(1), "size")).alias("score")), "similar-facts")
+    facts = found.select("node", "size", "bits").join(shared, "node").select(
+        "node", "size", "bits", (F.col("score") / F.greatest(F.lit(1), "size")).alias("score"))
+    return rows, settle(facts, "similar-facts")
+
+
+def _linked(rows: DataFrame, facts: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, root) for the nodes of ``rows`` (token, node, n) that are linked to another of the same token.
+
+    First each token's most shared node is tried with all others. Then, in rounds, more and more of a token's nodes are
+    tried with all others of other components, until the token has one component or every node was tried. Each round
+    writes to a folder of its own, which goes when the next one has written what it needs.
+    """
+    spark = rows.sparkSession
     centre = (rows.join(facts.select("node", "score"), "node").groupBy("token")
               .agg(F.max(F.struct("score", "node")).alias("best")).select("token", F.col("best.node").alias("a")))
     tried = rows.join(centre, "token").select("a", F.col("node").alias("b"))
-    links, most = None, CENTRES
+    links, roots, most, last = None, None, CENTRES, None
     while True:
-        pairs = tried.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        x, y = (facts.select(F.col("node").alias(k), F.struct("size", "bits").alias(v)) for k, v in (("a", "x"), ("b", "y")))
-
-        def only(u: str, v: str) -> Column:  # at least so many shingles are not in the other set
-            return F.aggregate(F.zip_with(f"{u}.bits", f"{v}.bits", lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))), F.lit(0), lambda s, d: s + d)
-        least, largest = F.least(F.col("x.size") - only("x", "y"), F.col("y.size") - only("y", "x")), F.greatest("x.size", "y.size")
-        pairs = settle(pairs.join(x, "a").join(y, "b").where(least >= SIMILARITY * largest - 1e-9).select("a", "b"), "similar-pairs")
-        new = _verified(pairs, texts)
-        links = new if links is None else links.union(new)
-        roots = settle(components(links), "similar-roots")
-        rooted = rows.join(roots, "node", "left").select("token", "node", "n", F.coalesce("root", "node").alias("root"))
-        before = most // GROWTH if most > CENTRES else 0
-        # of tokens with several components and nodes that were no centres yet
-        open_tokens = rooted.groupBy("token").agg(F.first("n").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where(
-            (F.col("low") != F.col("high")) & (F.col("n") > before)).select("token")
-        rows = settle(rows.join(open_tokens, "token", "left_semi"), "similar-open")
+        folder = f"round-{uuid.uuid4().hex}"
+        with scope(folder):
+            pairs = tried.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            x, y = (facts.select(F.col("node").alias(k), F.struct("size", "bits").alias(v)) for k, v in (("a", "x"), ("b", "y")))
+
+            def only(u: str, v: str) -> Column:  # at least so many shingles are not in the other set
+                return F.aggregate(F.zip_with(f"{u}.bits", f"{v}.bits", lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))), F.lit(0), lambda s, d: s + d)
+            least, largest = F.least(F.col("x.size") - only("x", "y"), F.col("y.size") - only("y", "x")), F.greatest("x.size", "y.size")
+            pairs = settle(pairs.join(x, "a").join(y, "b").where(least >= SIMILARITY * largest - 1e-9).select("a", "b"), "similar-pairs")
+            new = _verified(pairs, texts)
+            links = new if links is None else settle(links.union(new), "similar-all-links")
+            roots = settle(components(links), "similar-roots")
+            rooted = rows.join(roots, "node", "left").select("token", "node", "n", F.coalesce("root", "node").alias("root"))
+            before = most // GROWTH if most > CENTRES else 0
+            # of tokens with several components and nodes that were no centres yet
+            open_tokens = rooted.groupBy("token").agg(F.first("n").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where(
+                (F.col("low") != F.col("high")) & (F.col("n") > before)).select("token")
+            rows = settle(rows.join(open_tokens, "token", "left_semi"), "similar-open")
+        if last is not None:
+            with scope(last):
+                clear(spark)
+        last = folder
         if rows.isEmpty():
             return roots
         place = F.pmod(F.xxhash64("node", F.lit(SEED + 1)), F.lit(1 << 20)) * F.col("n")
-        members = settle(rows.join(roots, "node", "left").select("token", "node", "n", F.coalesce("root", "node").alias("root"), place.alias("place")), "similar-members")
+        with scope(folder):
+            members = settle(rows.join(roots, "node", "left").select("token", "node", "n", F.coalesce("root", "node").alias("root"), place.alias("place")), "similar-members")
         centres = members.where((F.col("place") >= before << 20) & (F.col("place") < most << 20))
         part = F.when(F.col("n") <= SMALL_BUCKET, 0).otherwise(F.pmod(F.xxhash64("node"), F.lit(PARTS)))
         every = F.when(F.col("n") <= SMALL_BUCKET, F.array(F.lit(0).cast("long"))).otherwise(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long")))
@@ -310,11 +331,10 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("first")), "similar-firsts")
     texts = docs.select(F.xxhash64(text_of(text)).alias("node"), text_of(text).alias("text"))
     frequent = _frequent(texts)
-    found = settle(texts.select("node", shingle_set(F.col("text")).alias("set")).mapInPandas(
-        _prefixes(*frequent), "node long, size int, bits array<long>, prefix array<long>"), "similar-prefixes")
-    nodes = settle(found.select("node", "size", "bits").dropDuplicates(["node"]), "similar-nodes")
-    rows = settle(found.select("node", F.explode("prefix").alias("token")).distinct(), "similar-shingles")
-    roots = _linked(rows, nodes, texts)
+    sets = texts.select("node", shingle_set(F.col("text")).alias("set")).mapInPandas(
+        _prefixes(*frequent), "node long, size int, bits array<long>, prefix array<long>")
+    found = settle(sets.dropDuplicates(["node"]), "similar-prefixes")
+    roots = _linked(*_shared(found), texts)
     rooted = firsts.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     best = rooted.groupBy("root").agg(F.min("first").alias("best"))
     named = rooted.join(best, "root").select("node", F.col("best.doc_id").alias("component_id"), F.col("best.node").alias("best_node"))
