@@ -63,6 +63,22 @@ def clear(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+#: Spark removes the shuffle files of a query that ends with this setting; by itself it keeps them until the driver
+#: collects garbage, and a chain of settled tables fills the disks.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def write(df: DataFrame, path: str) -> None:
+    """Write ``df`` as Parquet; the shuffle files that this took are removed when it is done."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(CLEANUP, before)
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
@@ -71,5 +87,5 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    write(df, path)
     return spark.read.schema(df.schema).parquet(path)
