@@ -198,8 +198,10 @@ def brute_pairs(shifts):
     return dict(out)
 
 
+@pytest.mark.parametrize("block", [64, 2])
 @pytest.mark.parametrize("teams", [("A", "B"), ("A",), ("A", "B", "C")])
-def test_shared_seconds_equal_brute_force(spark, teams):
+def test_shared_seconds_equal_brute_force(spark, monkeypatch, teams, block):
+    monkeypatch.setattr(overlap, "BLOCK", block)
     shifts, _ = random_game(7, games=2, teams=teams)
     got = {(r["season"], r["player_id"], r["other_player_id"], r["same_team"], r["situation"]): r["shared_toi"]
            for r in overlap.shared_seconds(spark.createDataFrame(shifts, SHIFT), RULES).collect()}
