@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from icelens.catalog.intervals import base_stints, measured_stints
@@ -9,9 +11,11 @@ from icelens.catalog.registry import register
 from icelens.operators import aggregate as agg
 from icelens.operators.attach import tag_strength
 from icelens.operators.perspective import goalie_stints, player_stints
-from icelens.plans import stats
+from icelens.plans import season, stats
 from icelens.plans.stats import LeagueTables
+from icelens.session import shared_folder
 from icelens.sources.league_views import LEAGUE_RULES as RULES, league
+from icelens.sources.tables import TableStore
 
 K = "season player_id:l situation "
 
@@ -152,10 +156,8 @@ SELECT season, player_id, situation, position, gp, toi FROM skater_stats_o UNION
 SELECT season, player_id, situation, position, gp, toi FROM goalie_stats_o""")
 def _(spark, folder):
     t = tables(league(spark, folder))
-    stints = stats.measured_stints(t, RULES)
-    names = ["season", "player_id", "situation", "position", "gp", "toi"]
-    return (stats.skater_stats(t, stints, RULES).select(*names)
-            .unionByName(stats.goalie_stats(t, stints, RULES).select(*names)))
+    store = TableStore(spark, f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}")
+    return season.save_stats(store, t, stats.measured_stints(t, RULES), RULES)
 
 
 @register("toi_totals", K + "toi:r6 gp:l", """

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import dataclasses
+import uuid
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from icelens.catalog.oracle_value import SCORES, ranked_sql, weighted_sql
 from icelens.catalog.registry import register
@@ -12,9 +13,11 @@ from icelens.catalog.totals import goalie_table, skater_table, tables
 from icelens.catalog.intervals import PAIRS_SQL, base_stints
 from icelens.operators import aggregate as agg, overlap, quality, ranking, value
 from icelens.operators.attach import tag_strength
-from icelens.plans import cards, rankings, stats
-from icelens.session import settle
+from icelens.functions import text
+from icelens.plans import cards, rankings, season, stats
+from icelens.session import settle, shared_folder
 from icelens.sources.league_views import LEAGUE_RULES, league
+from icelens.sources.tables import TableStore
 
 # Teams of the driver's league are small, so replacement starts lower on the list.
 RULES = dataclasses.replace(LEAGUE_RULES, season_games={}, team_rank={
@@ -55,11 +58,6 @@ class Bench:
                                       self.goalie_war(table), starts)
 
 
-def rounded(scores: DataFrame) -> DataFrame:
-    """Scores to six digits, so that sums taken in another order still tie."""
-    return scores.withColumns({c: F.round(c, 6) for c in rankings.score_columns(scores)})
-
-
 @register("goals_to_wins", "season g2w:r6", "SELECT * FROM g2w_o")
 def _(spark, folder):
     return value.goals_to_wins(league(spark, folder)("standings_v"), RULES)
@@ -223,7 +221,7 @@ LEFT JOIN (SELECT season, player_id, AVG(qot_score) AS tmt_score, AVG(qoc_score)
  SELECT * FROM ({QUALITY_SQL.format('evd_score').replace('ratings_v', 'skater_round_o')})) GROUP BY ALL) q USING (season, player_id)""")
 def _(spark, folder):
     bench = Bench(spark, folder)
-    scores = settle(rounded(bench.skater_scores(bench.skaters())), "scores")
+    scores = settle(season.rounded(bench.skater_scores(bench.skaters())), "scores")
     pairs = settle(overlap.shared_seconds(bench.t.shifts, RULES), "pairs")
     return rankings.yearly_ranking(scores, pairs)
 
@@ -232,7 +230,7 @@ def _(spark, folder):
           ranked_sql("goalie_round_o", SCORES["goalie"]))
 def _(spark, folder):
     bench = Bench(spark, folder)
-    return rankings.yearly_ranking(settle(rounded(bench.goalie_scores(bench.goalies())), "scores"))
+    return rankings.yearly_ranking(settle(season.rounded(bench.goalie_scores(bench.goalies())), "scores"))
 
 
 @register("weighted_ranking", "season player_id:l position all_players:l " + score_spec("skater", 9) + " "
@@ -241,8 +239,8 @@ def _(spark, folder):
           + f" FROM ({weighted_sql('skater_round_o', SCORES['skater'])}))", SCORES["skater"]))
 def _(spark, folder):
     bench = Bench(spark, folder)
-    scores = settle(rounded(bench.skater_scores(bench.skaters())), "scores")
-    return rankings.rank_scores(rounded(rankings.weighted_scores(scores, RULES)))
+    scores = settle(season.rounded(bench.skater_scores(bench.skaters())), "scores")
+    return rankings.rank_scores(season.rounded(rankings.weighted_scores(scores, RULES)))
 
 
 @register("weighted_goalie_ranking", "season player_id:l position all_players:l " + score_spec("goalie", 9) + " "
@@ -251,8 +249,8 @@ def _(spark, folder):
           + f" FROM ({weighted_sql('goalie_round_o', SCORES['goalie'])}))", SCORES["goalie"]))
 def _(spark, folder):
     bench = Bench(spark, folder)
-    scores = settle(rounded(bench.goalie_scores(bench.goalies())), "scores")
-    return rankings.rank_scores(rounded(rankings.weighted_scores(scores, RULES)))
+    scores = settle(season.rounded(bench.goalie_scores(bench.goalies())), "scores")
+    return rankings.rank_scores(season.rounded(rankings.weighted_scores(scores, RULES)))
 
 
 @register("history_arrays", "season player_id:l evo_history evd_history", """
@@ -292,7 +290,7 @@ LEFT JOIN bios_v b ON b.player_id = r.player_id"""
 def skater_card_rows(spark, folder) -> DataFrame:
     bench = Bench(spark, folder)
     table = bench.skaters()
-    ranked = settle(rankings.yearly_ranking(settle(rounded(bench.skater_scores(table)), "scores")), "ranked")
+    ranked = settle(rankings.yearly_ranking(settle(season.rounded(bench.skater_scores(table)), "scores")), "ranked")
     return cards.skater_cards(ranked, ranked, table, bench.t.bios, bench.t.schedule, RULES)
 
 
@@ -326,7 +324,7 @@ JOIN games_o USING (season))""")
 def _(spark, folder):
     bench = Bench(spark, folder)
     table = bench.goalies()
-    ranked = settle(rankings.yearly_ranking(settle(rounded(bench.goalie_scores(table)), "scores")), "ranked")
+    ranked = settle(rankings.yearly_ranking(settle(season.rounded(bench.goalie_scores(table)), "scores")), "ranked")
     rows = cards.goalie_cards(ranked, ranked, table, bench.t.bios, agg.goalie_record(bench.t.goalie_logs), bench.t.schedule, RULES)
     return cards.display(rows, ("ovr", "pkl"))
 
@@ -354,3 +352,51 @@ def _(spark, folder):
     special = ratings.where("player_id % 4 <> 2").select("season", "player_id", F.col("evo_rapm").alias("off_coef"),
                                                          F.col("pkl_rapm").alias("def_coef"))
     return value.merge_scores(even, special)
+
+
+WEIGHTED_SQL = ranked_sql("(SELECT w.*, player FROM (SELECT season, player_id, position, "
+                          + ", ".join(f"ROUND({a}_score, 6) AS {a}_score" for a in SCORES["skater"])
+                          + f" FROM ({weighted_sql('skater_round_o', SCORES['skater'])})) w JOIN (SELECT season, player_id, player FROM skater_round_o) USING (season, player_id))",
+                          SCORES["skater"])
+STORED_SQL = f"""
+SELECT c.*, draft_year, draft_round, draft_overall_pick, shoots_catches, birth_country, y.evo_history,
+ row_number() OVER (PARTITION BY c.season, c.position ORDER BY c.player, c.player_id) AS place,
+ printf('%d-%d-%d', CAST(c.goals AS BIGINT), CAST(a.total_assists AS BIGINT), CAST(c.total_points AS BIGINT)) AS stat_line,
+ CASE WHEN c.xgf_pct IS NOT NULL THEN printf('%.3f', FLOOR(c.xgf_pct*10 + 0.5 + 1e-9)/1000) END AS xg_share,
+ translate(c.player, '{text.HEADER_FROM}', '{text.HEADER_TO}') AS header
+FROM ({CARD_SQL.replace(ranked_sql("skater_round_o", SCORES["skater"]), WEIGHTED_SQL)}) c
+LEFT JOIN (SELECT season, player_id, total_assists FROM skater_stats_o WHERE situation = 'all') a USING (season, player_id)
+LEFT JOIN (SELECT player_id, draft_year, draft_round, draft_overall_pick, shoots_catches, birth_country FROM bios_v) b ON b.player_id = c.player_id
+LEFT JOIN (SELECT s.season, s.player_id, string_agg(COALESCE(CAST(CAST(trunc(o.evo_pct) AS INT) AS VARCHAR), '-'), ',' ORDER BY k DESC) AS evo_history
+ FROM (SELECT season, player_id, position, k, CAST(substr(season, 1, 4) AS INT) - k AS yr FROM skater_round_o, range(5) t(k)) s
+ LEFT JOIN ({ranked_sql("skater_round_o", SCORES["skater"])}) o
+ ON o.player_id = s.player_id AND o.position = s.position AND CAST(substr(o.season, 1, 4) AS INT) = s.yr GROUP BY s.season, s.player_id) y USING (season, player_id)"""
+
+
+def stored_cards(spark, folder, given: bool) -> DataFrame:
+    """Cards of all stages, read back from their table; ``place``: of a row in its season and position as it is stored."""
+    bench_view = league(spark, folder)
+    store = TableStore(spark, f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}")
+    out = season.run(store, tables(bench_view), RULES, bench_view("ratings_v") if given else None)
+    # row groups keep the order of writing, so a file's rows are numbered as they stand, files by their first player
+    stored = out.withColumns({"_file": F.input_file_name(), "_row": F.monotonically_increasing_id()})
+    firsts = stored.groupBy("season", "position", "_file").agg(F.min_by("player", "_row").alias("_first"), F.count("*").alias("_n"))
+    by = W.partitionBy("season", "position")
+    firsts = firsts.withColumn("_before", F.sum("_n").over(by.orderBy("_first", "_file").rowsBetween(W.unboundedPreceding, 0)) - F.col("_n"))
+    inside = F.row_number().over(W.partitionBy("season", "position", "_file").orderBy("_row"))
+    placed = stored.withColumn("_inside", inside).join(firsts.drop("_n", "_first"), ["season", "position", "_file"])
+    placed = placed.withColumn("place", F.col("_inside") + F.col("_before")).where("position != 'G'")
+    return cards.display(placed, ("ovr", "ppl")).withColumn("evo_history", F.array_join(F.col("evo_history").cast("array<string>"), ",", "-"))
+
+
+# Statistics, wins, rankings and cards stored and read back; ratings are given, so every value is compared.
+@register("stored_cards", "season player_id:l player position place:l gp:l toi:r2 goals:l ixg:r2 gf_pct:r2 ovr_pct:r1 ovr_rank:l ppl_rank:l age:l role "
+          "draft_year:l draft_round:l draft_overall_pick:l shoots_catches birth_country stat_line xg_share header evo_history", STORED_SQL)
+def _(spark, folder):
+    return stored_cards(spark, folder, True)
+
+
+# The same with fitted ratings. SQL has no fit: compared is everything on the card that does not depend on one.
+@register("season_run", "season player_id:l player position place:l gp:l toi:r2 goals:l ixg:r2 xgf_pct:r2 age:l role draft_round:l stat_line header", STORED_SQL)
+def _(spark, folder):
+    return stored_cards(spark, folder, False)

@@ -11,8 +11,6 @@ from icelens.operators.quality import attach_quality, average_quality, neighbour
 from icelens.operators.ranking import attach_pool_sizes, attach_ranks
 
 PLAYER = ["season", "player_id"]
-SKATER_ATTRS = ("ovr", "evo", "evd", "ppl", "pkl", "fin", "pen", "xgl", "gol", "ast", "hit", "ozs", "pdo")
-GOALIE_ATTRS = ("ovr", "evs", "pkl", "ldg", "mdg", "hdg", "rbd", "tmd", "gre", "qal", "bad", "awf", "wrk")
 
 
 def season_games(season: Column, rules: Rules) -> Column:

@@ -152,7 +152,9 @@ SELECT DISTINCT player_id,
  DATE '1988-06-01' + CAST((player_id*137) % 5200 AS INT) AS birth_date,
  66 + player_id % 13 AS height_in, 160 + (player_id*7) % 80 AS weight_lb,
  CASE player_id % 3 WHEN 0 THEN 'CAN' WHEN 1 THEN 'USA' ELSE 'SWE' END AS birth_country,
- CASE WHEN player_id % 4 > 0 THEN 2005 + player_id % 15 END AS draft_year
+ CASE WHEN player_id % 4 > 0 THEN 2005 + player_id % 15 END AS draft_year,
+ CASE WHEN player_id % 4 > 0 THEN 1 + player_id % 7 END AS draft_round,
+ CASE WHEN player_id % 4 > 0 THEN 30*(player_id % 7) + 1 + player_id % 30 END AS draft_overall_pick
 FROM shifts_v""",
 }
 

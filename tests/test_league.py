@@ -199,3 +199,34 @@ def test_report_rows_follow_their_own_heading(spark):
     got = feeds.html_shifts(spark.createDataFrame([("s", 1, "T", 1, page)], "season string, game_id long, team string, doc_no long, html string")).collect()
     assert [(r.report_name, r.report_last_name, r.period, r.start_time, r.end_time, r.duration) for r in got] == [
         ("Jean Paul Ó'Brien-Smith", "Ó'Brien-Smith", 2, "00:05", "01:05", "01:00"), ("Łukasz Štefan", "Štefan", 3, "10:00", "11:30", "01:30")]
+
+
+def test_ordered_table_has_one_range_a_file(spark, tmp_path):
+    import pyarrow.parquet as pq
+    store = TableStore(spark, str(tmp_path))
+    rows = spark.range(6000).select(F.concat(F.lit("P"), F.lpad(F.pmod(F.xxhash64("id"), F.lit(10_000)).cast("string"), 5, "0")).alias("player"),
+                                    F.col("id").alias("player_id"), F.when(F.col("id") % 2 == 0, "F").otherwise("D").alias("position"),
+                                    F.when(F.col("id") % 3 == 0, "2020-2021").otherwise("2021-2022").alias("season"), F.lit(1).alias("not_in_table"))
+    cards.publish(store, rows.repartition(7))
+    assert store.load("card_data").columns == schemas.schema("card_data").fieldNames()
+    several = 0
+    for folder in tmp_path.glob("card_data/season=*/position=*"):
+        spans = []
+        for file in folder.glob("*.parquet"):
+            names = pq.read_table(file, columns=["player"], partitioning=None).column("player").to_pylist()
+            assert names == sorted(names)
+            spans.append((names[0], names[-1]))
+        spans.sort()
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))  # so a look-up by player opens one file
+        several += len(spans) > 1
+    assert several
+    assert store.load_cards("2020-2021", "C").select("position").distinct().first()[0] == "F"
+    assert store.load_cards("2020-2021", "C").count() == rows.where("season = '2020-2021' AND position = 'F'").count()
+
+
+def test_stages_after_statistics_are_stored_with_their_types(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    wins = spark.createDataFrame([("s", "F", 1, 0.5)], "season string, position string, player_id long, tot_war double")
+    store.save(store.conformed(wins, "war_scores"), "war_scores")
+    kept = store.load("war_scores", season="s").first()
+    assert (kept.tot_war, kept.evo_war_total, kept.fin_war_5v4) == (0.5, None, None)
