@@ -186,11 +186,13 @@ def mixed(docs: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("from", "n"))).alias("parts"), F.sum("n").alias("taken"))
     parts = parts.withColumnRenamed("_source", "_s").withColumnRenamed("_start", "_at")
     joined = rows.where("_size > 0").join(parts, (F.col("_source") == F.col("_s")) & (F.col("_start") == F.col("_at")))
-    full = joined.select("row.*", F.col("_size").alias("_n"), F.col("taken").alias("_taken"), F.col("parts").alias("_parts"))
-    full = full.withColumn("_words", F.when(F.col("_taken") < F.col("_n"), words_of(text_of("text"))))
-    cut = F.array_join(F.flatten(F.transform("_parts", lambda p: F.slice(
-        F.col("_words"), (p["from"] + 1).cast("int"), p["n"].cast("int")))), " ")
-    full = full.withColumn("text", F.when(F.col("_taken") < F.col("_n"), cut).otherwise(F.col("text")))
+    packed = joined.select("row", F.col("_size").alias("size"), "taken", "parts")  # the columns of docs may have any names
+    text = F.col("row").getField("text")
+    packed = packed.withColumn("words", F.when(F.col("taken") < F.col("size"), words_of(F.coalesce(text.cast("string"), F.lit("")))))
+    cut = F.array_join(F.flatten(F.transform("parts", lambda p: F.slice(
+        F.col("words"), (p["from"] + 1).cast("int"), p["n"].cast("int")))), " ")
+    packed = packed.withColumn("words", F.when(F.col("taken") < F.col("size"), cut).otherwise(text))
+    new = {"text": F.col("words")}
     if "n_chars" in docs.columns:
-        full = full.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return full.select(*docs.columns)
+        new["n_chars"] = F.length("words").cast(docs.schema["n_chars"].dataType)
+    return packed.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
