@@ -51,7 +51,7 @@ def tokenizer_file(name: str) -> str:
 @query
 def op7_token_binary(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return tokenbin.written(docs, tokenizer_file("byte_bpe_50k.json")).drop("ids")
+    return tokenbin.written(docs, tokenizer_file("byte_bpe_50k.json"), with_ids=False)
 
 
 @query

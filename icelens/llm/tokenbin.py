@@ -22,6 +22,7 @@ from types import ModuleType
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -32,7 +33,9 @@ from icelens.session import settle
 HEAD = "<qBII"
 END = 2
 CACHED_WORDS = 500_000
-TEXTS_AT_ONCE = 100
+#: Bytes of text whose words are told apart at once: the more, the fewer words pass through Python twice.
+BYTES_AT_ONCE = 16_000_000
+TEXTS_AT_ONCE = 1000
 #: Stands for the ids of a word whose text must be encoded whole (never the ids of a word: these are of even length).
 WHOLE = b"?"
 
@@ -81,25 +84,53 @@ class Encoder:
             data, cuts = ids.tobytes(), [*(at * self.kind.itemsize).tolist(), ids.nbytes]
             self.words.update((w, data[a:b]) for w, a, b in zip(line, cuts, cuts[1:]))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as bytes of ``kind``."""
+    def _heads(self, heads: list[str]) -> list[bytes]:
         if len(self.first) > CACHED_WORDS:
             self.first.clear()
-        split = [t.split(" ") for t in texts]
-        heads = [s.pop(0) for s in split]
-        new = [h for h in set(heads) if h not in self.first]
+        new = list({h for h in heads if h not in self.first})
         self.first.update((h, i.tobytes()) for h, i in zip(new, self._ids(new)))
-        found = [list(map(self.words.get, s)) for s in split]
-        self._learn(list({w for s, f in zip(split, found) if None in f for w, ids in zip(s, f) if ids is None}))
-        out, words = [], self.words
-        for text, head, rest, ids in zip(texts, heads, split, found):
-            if None in ids:
-                ids = [words[w] if i is None else i for w, i in zip(rest, ids)]
-            if WHOLE in ids or (rest and (not head or head[-1].isspace())):
-                out.append(self._ids([text])[0].tobytes())
-            else:
-                out.append(self.first[head] + b"".join(ids))
-        return out
+        return [self.first[h] for h in heads]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, cuts): the ids of all texts one after the other, and where each text begins and the last one ends.
+
+        Only distinct words pass through Python; the ids of all words are then gathered at once.
+        """
+        lists = pc.split_pattern(texts, pattern=" ")
+        begins = lists.offsets.to_numpy().astype(np.int64)
+        words = lists.values.slice(begins[0], begins[-1] - begins[0]).dictionary_encode()
+        begins = begins - begins[0]
+        codes, names = words.indices.to_numpy(), words.dictionary.to_pylist()
+        found = list(map(self.words.get, names))
+        self._learn([w for w, ids in zip(names, found) if ids is None])
+        found = [self.words[w] if ids is None else ids for w, ids in zip(names, found)]
+        heads = [names[c] for c in codes[begins[:-1]].tolist()]
+        marked = np.fromiter((ids == WHOLE for ids in found), dtype=bool, count=len(found))
+        pieces = [b"" if ids == WHOLE else ids for ids in found] + self._heads(heads)
+        sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        starts = np.cumsum(sizes) - sizes
+        # a text with a word that must not be encoded alone, or with spaces around its first word, is encoded whole
+        whole = marked[codes].astype(np.int64)
+        whole[begins[:-1]] = 0  # the first word is taken as it is
+        odd = np.add.reduceat(whole, begins[:-1]) > 0 if len(heads) else np.zeros(0, dtype=bool)
+        odd |= np.array([n > 1 and (not h or h[-1].isspace()) for h, n in zip(heads, np.diff(begins).tolist())], dtype=bool)
+        at = codes.copy()
+        at[begins[:-1]] = len(found) + np.arange(len(heads))
+        flat, width = b"".join(pieces), self.kind.itemsize
+        store = np.frombuffer(flat, dtype=self.kind)
+        small = np.int32 if len(flat) + texts.nbytes < 1 << 28 else np.int64  # an id stands for a byte of text or more
+        n = (sizes // width).astype(small)[at]
+        ends = np.cumsum(n, dtype=small)
+        places = np.repeat((starts // width).astype(small)[at] - (ends - n), n)
+        places += np.arange(len(places), dtype=small)
+        ids = store[places]
+        cuts = np.concatenate([[0], ends])[begins].astype(np.int64)
+        if not odd.any():
+            return ids, cuts
+        parts = [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+        for i in np.flatnonzero(odd).tolist():
+            parts[i] = self._ids([texts[i].as_py()])[0]
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])])
 
 
 def worker_encoder(path: str) -> Encoder:
@@ -133,37 +164,66 @@ LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.ui
 PARTS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], dtype=np.uint32)
 
 
-def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
-    """The numbers again."""
-    lengths = LENGTHS[np.frombuffer(control, dtype=np.uint8)].reshape(-1)[:n]
+def unpack(control: bytes, data: bytes, counts: np.ndarray) -> np.ndarray:
+    """The numbers of several runs again, ``counts`` of them in each; every run began a control byte of its own."""
+    lengths = LENGTHS[np.frombuffer(control, dtype=np.uint8)].reshape(-1)
+    room = -(-counts // 4) * 4
+    if (room != counts).any():  # the places that end a run's last control byte stand for nothing
+        place = np.arange(len(lengths)) - np.repeat(np.cumsum(room) - room, room)
+        lengths = lengths[place < np.repeat(counts, room)]
+    if not len(lengths):
+        return np.zeros(0, dtype=np.uint32)
     starts = np.cumsum(lengths, dtype=np.int64) - lengths
     padded = np.frombuffer(data + b"\0\0\0", dtype=np.uint8).astype(np.uint32)
-    if not n:
-        return np.zeros(0, dtype=np.uint32)
     words = padded[starts] | padded[starts + 1] << 8 | padded[starts + 2] << 16 | padded[starts + 3] << 24
     return words & PARTS[lengths]
 
 
+def _parts(batch: pa.RecordBatch, column: str, size: int):
+    """The batch in slices of at most ``size`` bytes of a string column, or one longer string."""
+    offsets = np.frombuffer(batch.column(column).buffers()[1], dtype=np.int32)[batch.column(column).offset:][:batch.num_rows + 1] if batch.num_rows else []
+    at = 0
+    while at < batch.num_rows:
+        stop = max(at + 1, int(np.searchsorted(offsets, int(offsets[at]) + size, side="right")) - 1)
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def encoded(docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, ids binary): the ids of every whole text and END, two bytes an id (four for vocabularies over 65,536)."""
+    """(doc_id, ids binary, used): the ids of every whole text and END, two bytes an id (four for vocabularies over 65,536).
+
+    At the end of a task, rows with a ``used`` (two numbers: an id and how often the task had it) and nothing else.
+    """
+    used = pa.list_(pa.int64())
+
     def encode(batches):
         encoder = worker_encoder(tokenizer)
-        end = np.array([END], dtype=encoder.kind).tobytes()
+        seen = np.zeros(len(encoder.opens), dtype=np.int64)
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                part = batch.slice(at, TEXTS_AT_ONCE)
-                ids = [x + end for x in encoder.encode(part.column("text").to_pylist())]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            for part in _parts(batch, "text", BYTES_AT_ONCE):
+                ids, cuts = encoder.encode(part.column("text"))
+                ids = np.insert(ids, cuts[1:], END)
+                cuts = (cuts + np.arange(len(cuts))) * encoder.kind.itemsize
+                seen += np.bincount(ids, minlength=len(seen))
+                data = pa.Array.from_buffers(pa.large_binary(), part.num_rows, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), data.cast(pa.binary()), pa.nulls(part.num_rows, used)], ["doc_id", "ids", "used"])
+        found = np.flatnonzero(seen)
+        for at in range(0, len(found), 10_000):
+            some = found[at:at + 10_000]
+            pairs = pa.array(np.stack([some, seen[some]], axis=1).tolist(), used)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.binary()), pairs], ["doc_id", "ids", "used"])
 
     return docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), text_of(text).alias("text")).mapInArrow(
-        encode, "doc_id long, ids binary")
+        encode, "doc_id long, ids binary, used array<long>")
 
 
 def _flat(values: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
     """All ids of a binary array one after the other, and where each value begins and the last one ends."""
-    values = pa.array(values.to_pylist(), pa.large_binary())
-    cuts = np.frombuffer(values.buffers()[1], dtype=np.int64)[:len(values) + 1] // kind.itemsize
-    return np.frombuffer(values.buffers()[2] or b"", dtype=kind), cuts
+    values = values.cast(pa.large_binary())
+    cuts = np.frombuffer(values.buffers()[1], dtype=np.int64)[values.offset:values.offset + len(values) + 1]
+    data = values.buffers()[2]
+    flat = np.frombuffer(data, dtype=np.uint8)[cuts[0]:cuts[-1]] if data else np.zeros(0, dtype=np.uint8)
+    return np.frombuffer(flat.tobytes(), dtype=kind), (cuts - cuts[0]) // kind.itemsize
 
 
 def _kind(tokenizer: str) -> tuple[np.dtype, int]:
@@ -180,18 +240,11 @@ def write(docs: DataFrame, tokenizer: str, folder: str) -> DataFrame:
     kind, size = _kind(tokenizer)
     at = new_folder(docs.sparkSession, "tokens")  # written here, as ids shrink with zstd
     encoded(docs, tokenizer).write.option("compression", "zstd").parquet(at)
-    ids = docs.sparkSession.read.schema("doc_id long, ids binary").parquet(at)
-
-    def count(batches):
-        seen = np.zeros(size, dtype=np.int64)
-        for batch in batches:
-            seen += np.bincount(_flat(batch.column("ids"), kind)[0], minlength=size)
-        used = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(seen[used])], ["id", "n"])
-
+    rows = docs.sparkSession.read.schema("doc_id long, ids binary, used array<long>").parquet(at)
     # at most one row per vocabulary entry comes to the driver
-    ranked = [r.id for r in ids.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(
+    ranked = [r.id for r in rows.where("used IS NOT NULL").select(F.col("used")[0].alias("id"), F.col("used")[1].alias("n")).groupBy("id").agg(
         F.sum("n").alias("n")).orderBy(F.desc("n"), "id").select("id").collect()]
+    ids = rows.where("ids IS NOT NULL").select("doc_id", "ids")
     order = np.array(ranked, dtype="<u4")
     with opened(f"{folder}/ranks", "w") as out:
         out.write(order.tobytes())
@@ -218,42 +271,50 @@ def write(docs: DataFrame, tokenizer: str, folder: str) -> DataFrame:
     return settle(ordered.mapInArrow(save, "shard long, path string, n_docs long, n_ids long"), "manifest")
 
 
-def read(manifest: DataFrame, folder: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids array<int>) of all documents of the files: start counts the ids of all before."""
+def read(manifest: DataFrame, folder: str, with_ids: bool = True) -> DataFrame:
+    """(doc_id, start, n_tokens, ids binary, ids_crc32) of all documents of the files: start counts the ids of all before.
+
+    Without ``with_ids`` every document is decoded all the same, but its ids stay in the task.
+    """
     def load(frames):
         with opened(f"{folder}/ranks", "r") as source:
             order = np.frombuffer(source.read(), dtype="<u4")
         for frame in frames:
             for path, n_docs, before in zip(frame["path"], frame["n_docs"], frame["before"]):
                 with opened(path, "r") as source:
-                    rows, size = [], 0
+                    waiting, size = [], 0
                     for _ in range(n_docs):
                         doc, null, n, n_data = struct.unpack(HEAD, source.read(struct.calcsize(HEAD)))
-                        body = source.read(-(-n // 4) + n_data)
-                        ids = order[unpack(body[:len(body) - n_data], body[len(body) - n_data:], n)]
-                        rows.append((None if null else doc, before, n, ids.astype("<u4").tobytes(), zlib.crc32(ids.astype("<u4"))))
-                        before, size = before + n, size + 4 * n
-                        if size > 1 << 22:
-                            yield _rows(rows)
-                            rows, size = [], 0
-                    yield _rows(rows)
+                        waiting.append((None if null else doc, n, source.read(-(-n // 4)), source.read(n_data)))
+                        size += n
+                        if size > 1 << 20:
+                            yield _rows(waiting, order, before, with_ids)
+                            before, waiting, size = before + size, [], 0
+                    yield _rows(waiting, order, before, with_ids)
 
     # one row per file
     placed = manifest.withColumn("before", F.sum("n_ids").over(
         W.orderBy("shard").rowsBetween(W.unboundedPreceding, 0)) - F.col("n_ids"))
     files = manifest.count()
     return placed.repartition(max(1, files), "path").mapInPandas(
-        load, "doc_id long, start long, n_tokens long, ids binary, ids_crc32 long")
+        load, "doc_id long, start long, n_tokens long, " + ("ids binary, " if with_ids else "") + "ids_crc32 long")
 
 
-def _rows(rows: list[tuple]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids", "ids_crc32"])
-    frame["doc_id"] = pd.array([r[0] for r in rows], dtype="Int64")
-    return frame
+def _rows(waiting: list[tuple], order: np.ndarray, before: int, with_ids: bool) -> pd.DataFrame:
+    """Documents (doc_id, number of ids, control bytes, data bytes) as rows; ``before``: ids of all documents before them."""
+    counts = np.array([w[1] for w in waiting], dtype=np.int64)
+    ids = order[unpack(b"".join(w[2] for w in waiting), b"".join(w[3] for w in waiting), counts)].astype("<u4")
+    cuts = np.concatenate([[0], np.cumsum(counts)])
+    data = memoryview(ids.tobytes())
+    parts = [data[4 * a:4 * b] for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
+    frame = pd.DataFrame({"doc_id": pd.array([w[0] for w in waiting], dtype="Int64"), "start": before + cuts[:-1], "n_tokens": counts})
+    if with_ids:
+        frame["ids"] = [bytes(x) for x in parts]
+    return frame.assign(ids_crc32=np.array([zlib.crc32(x) for x in parts], dtype=np.int64))
 
 
-def written(docs: DataFrame, tokenizer: str) -> DataFrame:
+def written(docs: DataFrame, tokenizer: str, with_ids: bool = True) -> DataFrame:
     """Write ``docs`` to a new shared folder and read them back: (doc_id, start, n_tokens, ids binary: little-endian
-    unsigned 32-bit, ids_crc32), one row per row of ``docs``. A null or empty text has just END."""
+    unsigned 32-bit, only ``with_ids``, ids_crc32), one row per row of ``docs``. A null or empty text has just END."""
     folder = new_folder(docs.sparkSession, "tokenbin")
-    return read(write(docs, tokenizer, folder), folder)
+    return read(write(docs, tokenizer, folder), folder, with_ids)

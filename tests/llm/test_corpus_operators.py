@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -230,7 +231,9 @@ def test_packing_round_trip():
     runs = [(rnd.integers(0, 2, n) * rnd.integers(0, 1 << 32, n) >> rnd.integers(0, 32, n)).astype(np.uint32) for n in (0, 1, 3, 4, 0, 5, 1000, 0)]
     cuts = np.concatenate([[0], np.cumsum([len(r) for r in runs])])
     for run, control, data in zip(runs, *tokenbin.pack(np.concatenate(runs), cuts), strict=True):
-        assert len(control) == -(-len(run) // 4) and tokenbin.unpack(control, data, len(run)).tolist() == run.tolist()
+        assert len(control) == -(-len(run) // 4) and tokenbin.unpack(control, data, np.array([len(run)])).tolist() == run.tolist()
+    packed = tokenbin.pack(np.concatenate(runs), cuts)
+    assert tokenbin.unpack(*map(b"".join, packed), np.diff(cuts)).tolist() == np.concatenate(runs).tolist()
 
 
 def test_encoder_equals_the_library():
@@ -240,8 +243,9 @@ def test_encoder_equals_the_library():
     parts = ["a", "The", " ", " ", " ", "  ", "\n", "'s", "12", "é", "!", "<|endoftext|>", "\t", "\x1c", "漢", "\r\n", "🙂", " ", "᠎"]
     texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 30))) for _ in range(3000)]
     for i in range(0, 3000, 100):
-        for text, ids in zip(texts[i:i + 100], encoder.encode(texts[i:i + 100])):
-            assert np.frombuffer(ids, encoder.kind).tolist() == whole.encode(text, add_special_tokens=False).ids, repr(text)
+        ids, cuts = encoder.encode(pa.array(["", *texts[i:i + 100]]).slice(1))
+        for text, a, b in zip(texts[i:i + 100], cuts, cuts[1:]):
+            assert ids[a:b].tolist() == whole.encode(text, add_special_tokens=False).ids, repr(text)
 
 
 def test_token_files_round_trip(messy, empty):
@@ -316,3 +320,27 @@ def test_pipeline_keeps_clean_documents(spark, tmp_path):
     clean = set(range(40))
     assert kept[0] == clean | {100, 101, 102} and kept[1] == clean | {102} and kept[2] == clean
     assert kept[3] <= clean and kept[4] == kept[3]
+
+
+@pytest.mark.parametrize("which", ["messy", "empty"])
+def test_pipeline_of_messy_rows(spark, tmp_path, messy, empty, which):
+    """Null and repeated rows, odd texts, and columns with dots and with names that stages use themselves."""
+    import corpus_pipeline
+    odd = ["a.b", "_n", "_node", "_picked", "_found", "_words", "_text", "_count", "_best", "_taken", "_parts", "node", "pick", "size", "words"]
+    docs = {"messy": messy, "empty": empty}[which]
+    docs = docs.select("*", *[F.lit(i).alias(c) for i, c in enumerate(odd)])
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    item = messy.where("doc_id = 2").select("text").first().text
+    spark.createDataFrame([(0, item), (1, None), (None, ""), (2, "one")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    frame = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, frame, str(tmp_path)).write.parquet(str(tmp_path / name))
+        frame = spark.read.parquet(str(tmp_path / name))
+        rows = frame.collect()
+        if name != "token files":
+            assert frame.columns == docs.columns
+            assert all(r[c] == i for r in rows for i, c in enumerate(odd))
+        if which == "empty":
+            assert rows == []
+    if which == "messy":
+        assert rows and 2 not in {r.doc_id for r in rows}
