@@ -11,6 +11,7 @@ large group of near copies) is not joined with itself: its members meet at hubs,
 
 from __future__ import annotations
 
+import functools
 import math
 import uuid
 
@@ -36,6 +37,8 @@ SHINGLE, SIMILARITY, LANES = 5, 0.8, 8
 SAMPLE, FREQUENT, MOST_FREQUENT = 20_000, 8, 200_000
 #: Centres of a bucket in the first round after the stars, and by how much they grow each round; parts of a large bucket.
 CENTRES, GROWTH, PARTS = 64, 4, 16
+#: Parts in which the pairs of a round are compared, so that no more than such a part of them is on disk with its sets.
+VERIFIED_IN = 4
 
 
 def fingerprint(text: str | None, shingle: int) -> int:
@@ -246,9 +249,13 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of ``pairs`` whose shingle sets have the least similarity."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     sets = settle(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]).select("node", shingle_set(F.col("text")).alias("set")), "similar-sets")
-    both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-    counted = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("n"), (F.size("x") + F.size("y")).alias("sum"))
-    return settle(counted.where(F.col("n") >= SIMILARITY * (F.col("sum") - F.col("n"))).select("a", "b"), "similar-links")
+    parts = []
+    for part in range(VERIFIED_IN):  # a pair takes a set along, so a part of them at a time, at any size of the table
+        some = pairs.where(F.pmod(F.xxhash64("a"), F.lit(VERIFIED_IN)) == part)
+        both = some.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
+        counted = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("n"), (F.size("x") + F.size("y")).alias("sum"))
+        parts.append(settle(counted.where(F.col("n") >= SIMILARITY * (F.col("sum") - F.col("n"))).select("a", "b"), "similar-links"))
+    return functools.reduce(DataFrame.union, parts)
 
 
 def _shared(found: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -345,9 +352,10 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 def unique_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of every group of similar(), with the columns of ``docs``: the one with the smallest doc_id."""
     # one shuffle by (text, id): a text's copies are spread by their ids, and repeated rows meet in the same place
-    kept = similar(docs, doc_id, text).where("keep").select(
-        F.xxhash64("node", "doc_id").alias("_pick"), F.col("node").alias("_kept"))
-    marked = docs.withColumn("_node", F.xxhash64(text_of(text)))
-    marked = marked.withColumn("_picked", F.xxhash64("_node", F.col(f"`{doc_id}`")))
-    return (marked.join(kept, (F.col("_picked") == F.col("_pick")) & (F.col("_node") == F.col("_kept")), "left_semi")
-            .dropDuplicates(["_picked", "_node"]).drop("_node", "_picked"))
+    kept = similar(docs, doc_id, text).where("keep").select(F.xxhash64("node", "doc_id").alias("pick"), F.col("node").alias("kept"))
+    node = F.xxhash64(text_of(text))
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), node.alias("node"),
+                         F.xxhash64(node, F.col(f"`{doc_id}`")).alias("picked"))
+    rows = (marked.join(kept, (F.col("picked") == F.col("pick")) & (F.col("node") == F.col("kept")), "left_semi")
+            .dropDuplicates(["picked", "node"]))
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
