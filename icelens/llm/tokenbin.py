@@ -33,8 +33,8 @@ from icelens.session import settle
 HEAD = "<qBII"
 END = 2
 CACHED_WORDS = 500_000
-#: Bytes of text whose words are told apart at once: the more, the fewer words pass through Python twice.
-BYTES_AT_ONCE = 16_000_000
+#: Bytes of text whose words are told apart at once: the more, the fewer words pass through Python twice, and the more memory it takes.
+BYTES_AT_ONCE = 4_000_000
 TEXTS_AT_ONCE = 1000
 #: Stands for the ids of a word whose text must be encoded whole (never the ids of a word: these are of even length).
 WHOLE = b"?"
