@@ -39,6 +39,8 @@ SAMPLE, FREQUENT, MOST_FREQUENT = 20_000, 8, 200_000
 CENTRES, GROWTH, PARTS = 64, 4, 16
 #: Parts in which the pairs of a round are compared, so that no more than such a part of them is on disk with its sets.
 VERIFIED_IN = 4
+#: Hashes of texts that are broadcast, at most: 8 MB of them.
+BROADCAST_NODES = 1_000_000
 
 
 def fingerprint(text: str | None, shingle: int) -> int:
@@ -248,6 +250,9 @@ def _frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of ``pairs`` whose shingle sets have the least similarity."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = settle(wanted, "similar-wanted")
+    # where few texts are compared, the others need not be shuffled to find them
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_NODES else wanted
     sets = settle(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]).select("node", shingle_set(F.col("text")).alias("set")), "similar-sets")
     parts = []
     for part in range(VERIFIED_IN):  # a pair takes a set along, so a part of them at a time, at any size of the table
