@@ -122,3 +122,32 @@ def test_model_learns_distance_and_survives_saving(spark, tmp_path):
     assert scored.count() == 3000
     near, far = (scored.where(q).agg(F.avg("xg")).first()[0] for q in ("distance < 5", "distance > 40"))
     assert near > far
+
+
+def test_shifted_solutions_share_the_products_of_one_sequence():
+    rnd = np.random.default_rng(5)
+    x = rnd.normal(size=(60, 40)) * rnd.random(40)
+    matrix, right = x.T @ x, rnd.normal(size=40)
+    alphas, seen = np.array([50.0, 0.5, 3.0, 1e6]), []
+
+    def times(v):
+        seen.append(1)
+        return matrix @ v
+    got = ridge._shifted(times, right, alphas)
+    want = np.column_stack([np.linalg.solve(matrix + a * np.eye(40), right) for a in alphas])
+    assert got == pytest.approx(want, rel=1e-9, abs=1e-12)
+    alone = len(seen)
+    ridge._shifted(times, right, np.array([0.5]))
+    assert len(seen) == 2 * alone
+
+
+def test_a_league_of_some_thousand_players_is_solved_in_tasks(spark, monkeypatch):
+    def never(*_):
+        raise AssertionError("by joins")
+    monkeypatch.setattr(ridge.wide_ridge, "fit_sums", never)
+    rows = [("s", i % 10, 1, i, "A", 600, [3 * i, 3 * i + 1], [3 * i + 2], 0.1 * (i % 3), i % 2) for i in range(1_500)]
+    got = ridge.fit(spark.createDataFrame(rows, ROWS), ["season"], "xg_for", CONTEXT, (1.0, 7.0))
+    assert got.where("feature >= 0").count() == 4_500
+    got = {r["feature"]: r["coef"] for r in got.where(f"feature < 3 or feature = {ridge.INTERCEPT}").collect()}
+    # players of the first row share its rate alike, attack and defence
+    assert got[0] == pytest.approx(got[2]) and all(np.isfinite(v) for v in got.values())
