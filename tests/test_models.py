@@ -151,3 +151,17 @@ def test_a_league_of_some_thousand_players_is_solved_in_tasks(spark, monkeypatch
     got = {r["feature"]: r["coef"] for r in got.where(f"feature < 3 or feature = {ridge.INTERCEPT}").collect()}
     # players of the first row share its rate alike, attack and defence
     assert got[0] == pytest.approx(got[2]) and all(np.isfinite(v) for v in got.values())
+
+
+def test_folds_of_a_handful_of_groups_leave_the_rows_in_place(spark):
+    rows = spark.range(4000).select(F.concat(F.lit("s"), (F.col("id") % 7).cast("string")).alias("season"), "id").union(
+        spark.sql("SELECT CAST(NULL AS STRING) AS season, 1L AS id"))
+    few, many = (folds.group_folds(rows, "season", 3, few=k) for k in (True, False))
+    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
+    join = next(line for line in few._jdf.queryExecution().sparkPlan().toString().splitlines() if "Join" in line)
+    assert "BroadcastHashJoin" in join
+
+
+def test_categories_are_indexed_in_one_pass():
+    stages = xg._pipeline({"maxDepth": 2}).getStages()
+    assert len(stages) == 3 and list(stages[0].getInputCols()) == list(xg.CATEGORIES)
