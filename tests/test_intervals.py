@@ -208,6 +208,16 @@ def test_shared_seconds_equal_brute_force(spark, monkeypatch, teams, block):
     assert got == brute_pairs(shifts)
 
 
+def test_pairs_of_small_segments_meet_by_slices_of_their_period(spark, monkeypatch):
+    monkeypatch.setattr(overlap, "BLOCK", 3)  # some segments above, some below
+    shifts, _ = random_game(5, games=2, teams=("A", "B"))
+    found = overlap.shared_seconds(spark.createDataFrame(shifts, SHIFT), RULES)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert any("RepartitionByExpression" in line and "slice" in line for line in plan.splitlines())
+    got = {(r["season"], r["player_id"], r["other_player_id"], r["same_team"], r["situation"]): r["shared_toi"] for r in found.collect()}
+    assert got == brute_pairs(shifts)
+
+
 def test_perspectives_and_player_rows(spark):
     rows = two_sided(spark, [(0, 10, 5, 4)])
     assert perspective.power_play_rows(rows).count() == 1
