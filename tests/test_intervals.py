@@ -74,6 +74,36 @@ def test_stints_equal_brute_force(spark, seed):
     assert have
 
 
+def test_pairs_of_segment_and_player_are_not_shuffled(spark):
+    """Rows of the join by slices are grouped where they met, one sort serves the merge, and presence is shuffled once."""
+    shifts, goals = random_game(3)
+    names = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        stints = st.build_stints(spark.createDataFrame(shifts, SHIFT), spark.createDataFrame(goals, EVENT), RULES)
+        plan = stints._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    lists = [i for i, line in enumerate(plan) if "collect_list" in line]
+    below = next(line for line in plan[lists[-1]:] if "Join" in line or "Exchange" in line)
+    assert lists and "Join" in below and "_slice" in below
+    assert not any("Exchange" in line for line in plan[lists[0]:lists[-1]])
+    assert not any("_island" in line for line in plan)
+    assert any("ReusedExchange" in line and "player_id" in line and "is_goalie" in line for line in plan)
+
+
+def test_a_hole_in_the_ice_time_ends_a_stint_and_keeps_its_goals(spark):
+    shifts = [("s", 1, 1, 1, "A", False, 0, 10), ("s", 1, 1, 1, "A", False, 20, 30), ("s", 1, 1, 9, "B", False, 0, 30),
+              ("s", 1, 1, 8, "B", True, 0, 5), ("s", 1, 1, 7, "B", True, 5, 25)]
+    goals = [("s", 1, 1, "A", 0), ("s", 1, 1, "A", 7), ("s", 1, 1, "B", 15), ("s", 1, 1, "B", 22), ("s", 1, 1, "A", 30), ("s", 1, 1, "A", 40)]
+    out = sorted((r.start_sec, r.end_sec, r.b_goalie_id, r.a_goals, r.b_goals)
+                 for r in st.build_stints(spark.createDataFrame(shifts, SHIFT), spark.createDataFrame(goals, EVENT), RULES).collect())
+    assert out == [(0, 10, 8, 2, 0), (20, 25, 7, 0, 1), (25, 30, None, 2, 0)]
+
+
 def test_seven_skaters_are_dropped_and_lose_their_goals(spark):
     shifts = [("s", 1, 1, p, "A", False, 0, 20) for p in range(6)] + [("s", 1, 1, 6, "A", False, 10, 15)]
     shifts += [("s", 1, 1, 100, "B", False, 0, 20)]
