@@ -156,6 +156,23 @@ def test_store_prunes_and_tolerates_missing(spark, tmp_path):
     assert store.load("goals", rows.schema).count() == 2
 
 
+def test_merge_of_odd_ids_in_small_tasks(spark, monkeypatch):
+    from icelens.streaming import incremental
+    monkeypatch.setattr(incremental, "IDS_PER_TASK", 20)
+    frame = lambda rows, schema: spark.createDataFrame(rows, schema)
+    ids = frame([(i,) for i in [*range(100), 3, 4, None, None]], "k long")
+    incoming = frame([(i, v) for i in [*range(0, 120, 2), None] for v in (1, 2)], "k long, v int")
+    done = frame([(i, 0) for i in [*range(0, 30), 1, None]], "k long, v int")
+    empty = frame([(i,) for i in [*range(28, 40), 39, None, 500]], "k long")
+    loaded, none = incremental.merge(ids, incoming, done, empty, "k")
+    old = sorted([(i, 0) for i in [*range(0, 30), 1]] + [(i, v) for i in range(40, 100, 2) for v in (1, 2)])
+    assert sorted((r.k, r.v) for r in loaded.collect() if r.k is not None) == old and loaded.where("k is null").count() == 1
+    got = [r.k for r in none.collect()]
+    assert sorted(k for k in got if k is not None) == sorted({*range(28, 40), 500, *range(41, 100, 2)}) and got.count(None) == 1
+    # a task has a bounded number of ids, and does not take all because they are few bytes
+    assert none.rdd.getNumPartitions() == -(-(104 + 122 + 32 + 15) // 20)
+
+
 def test_incremental_load_resumes(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     ids = spark.createDataFrame([(i,) for i in range(6)], "game_id long")
