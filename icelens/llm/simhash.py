@@ -30,7 +30,9 @@ HALF = 32
 #: A bucket up to this size is joined pair by pair. A member of a larger one goes to its hubs, 1 + 32 + 496 rows in the
 #: worst case; so a fingerprint never makes more rows than a fixed number, whatever its bucket holds.
 SMALL_BUCKET = 64
-#: For similar(): words of a shingle, the least Jaccard similarity of shingle sets, and 64-bit lanes of a set's bit map.
+#: Words of a shingle of a fingerprint.
+FINGERPRINT_SHINGLE = 3
+#: For similar(): words of a shingle of its sets, the least Jaccard similarity of shingle sets, and 64-bit lanes of a set's bit map.
 SHINGLE, SIMILARITY, LANES = 5, 0.8, 8
 #: Texts whose shingles are counted to tell frequent ones, how often is frequent, and the most of them kept. Any order of
 #: shingles gives the same groups; with the frequent ones last, fewer pairs are tried.
@@ -192,7 +194,7 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)
 
 
-def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
+def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = FINGERPRINT_SHINGLE) -> DataFrame:
     """(doc_id, fp long, component_id), one row per row of ``docs``.
 
     ``docs``: any columns; doc_id is an integer and may be null or repeated. component_id: the smallest id of the
@@ -263,15 +265,17 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return functools.reduce(DataFrame.union, parts)
 
 
-def _shared(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _shared(found: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
     """(rows, facts): the (token, node, n) of tokens that several texts have, and (node, size, bits, score) of their nodes.
 
     Most tokens are one text's alone and are gone before anything is written. ``found``: (node, size, bits, prefix), one row
-    a node. Tokens with the same nodes say the same: one of them stays. score: how shared the tokens of a node are.
+    a node. Tokens with the same nodes say the same: one of them stays. score: how shared the tokens of a node are. What the
+    result does not need is settled in the scope ``folder``.
     """
     every = found.select("node", F.explode("prefix").alias("token"))
-    common = settle(every.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "similar-counts")
-    rows = settle(every.join(common, "token"), "similar-shingles")
+    with scope(folder):
+        common = settle(every.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "similar-counts")
+        rows = settle(every.join(common, "token"), "similar-shingles")
     kept = (rows.groupBy("token", "n").agg(F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(SEED))).alias("y"))
             .groupBy("n", "x", "y").agg(F.min("token").alias("token")).select("token"))
     rows = settle(rows.join(kept, "token", "left_semi"), "similar-rows")
@@ -281,18 +285,49 @@ def _shared(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, settle(facts, "similar-facts")
 
 
-def _linked(rows: DataFrame, facts: DataFrame, texts: DataFrame) -> DataFrame:
-    """(node, root) for the nodes of ``rows`` (token, node, n) that are linked to another of the same token.
+def _open(rows: DataFrame, roots: DataFrame, before: int) -> DataFrame:
+    """The ``rows`` of tokens with several components and nodes that were no centres yet."""
+    rooted = rows.join(roots, "node", "left").select("token", "node", "n", F.coalesce("root", "node").alias("root"))
+    tokens = rooted.groupBy("token").agg(F.first("n").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where(
+        (F.col("low") != F.col("high")) & (F.col("n") > before)).select("token")
+    return rows.join(tokens, "token", "left_semi")
 
-    First each token's most shared node is tried with all others. Then, in rounds, more and more of a token's nodes are
+
+def _simhash_links(texts: DataFrame) -> DataFrame:
+    """(a, b): links between the nodes of ``texts`` (node, text) that connect just what fingerprints within MOST_BITS connect."""
+    folder = f"simhash-{uuid.uuid4().hex}"
+    with scope(folder):
+        marked = settle(texts.select("node", fingerprints(FINGERPRINT_SHINGLE)("text").alias("fp")).distinct(), "simhash")
+        firsts = settle(marked.groupBy("fp").agg(F.min("node").alias("first")), "simhash-nodes")
+        near = links(firsts.select("fp")).join(firsts.toDF("a", "x"), "a").join(firsts.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+        equal = marked.join(firsts, "fp").where("node != first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    known = settle(near, "simhash-near").union(settle(equal, "simhash-equal"))
+    with scope(folder):
+        clear(texts.sparkSession)
+    return known
+
+
+def _linked(rows: DataFrame, facts: DataFrame, texts: DataFrame, links: DataFrame | None = None) -> DataFrame:
+    """(node, root) for the nodes of ``rows`` (token, node, n) that are linked to another of the same token, or by ``links``.
+
+    What ``links`` connect already is not tried. First each token's most shared node is tried with all others. Then, in rounds, more and more of a token's nodes are
     tried with all others of other components, until the token has one component or every node was tried. Each round
     writes to a folder of its own, which goes when the next one has written what it needs.
     """
     spark = rows.sparkSession
+    roots = None
+    if links is not None:
+        roots = settle(components(links), "similar-first-roots")
+        rows = settle(_open(rows, roots, 0), "similar-first-open")
+        if rows.isEmpty():
+            return roots
     centre = (rows.join(facts.select("node", "score"), "node").groupBy("token")
               .agg(F.max(F.struct("score", "node")).alias("best")).select("token", F.col("best.node").alias("a")))
     tried = rows.join(centre, "token").select("a", F.col("node").alias("b"))
-    links, roots, most, last = None, None, CENTRES, None
+    if roots is not None:
+        tried = tried.join(roots.toDF("a", "ra"), "a", "left").join(roots.toDF("b", "rb"), "b", "left").where(
+            F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
+    most, last = CENTRES, None
     while True:
         folder = f"round-{uuid.uuid4().hex}"
         with scope(folder):
@@ -306,12 +341,8 @@ def _linked(rows: DataFrame, facts: DataFrame, texts: DataFrame) -> DataFrame:
             new = _verified(pairs, texts)
             links = new if links is None else settle(links.union(new), "similar-all-links")
             roots = settle(components(links), "similar-roots")
-            rooted = rows.join(roots, "node", "left").select("token", "node", "n", F.coalesce("root", "node").alias("root"))
             before = most // GROWTH if most > CENTRES else 0
-            # of tokens with several components and nodes that were no centres yet
-            open_tokens = rooted.groupBy("token").agg(F.first("n").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where(
-                (F.col("low") != F.col("high")) & (F.col("n") > before)).select("token")
-            rows = settle(rows.join(open_tokens, "token", "left_semi"), "similar-open")
+            rows = settle(_open(rows, roots, before), "similar-open")
         if last is not None:
             with scope(last):
                 clear(spark)
@@ -330,9 +361,9 @@ def _linked(rows: DataFrame, facts: DataFrame, texts: DataFrame) -> DataFrame:
         most *= GROWTH
 
 
-def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", simhash: bool = False) -> DataFrame:
     """(doc_id, node, component_id, keep), one row per row of ``docs``: groups of texts linked by shingle sets of Jaccard
-    similarity SIMILARITY or more.
+    similarity SIMILARITY or more, with ``simhash`` also by SimHash fingerprints within MOST_BITS, as in classes().
 
     Candidates are texts with a common shingle in their prefixes (see ``_prefixes``), which no pair of that similarity
     lacks; the sets themselves decide. Pairs that two other links connect already are left out, no others. node: 64-bit
@@ -345,8 +376,13 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     frequent = _frequent(texts)
     sets = texts.select("node", shingle_set(F.col("text")).alias("set")).mapInPandas(
         _prefixes(*frequent), "node long, size int, bits array<long>, prefix array<long>")
-    found = settle(sets.dropDuplicates(["node"]), "similar-prefixes")
-    roots = _linked(*_shared(found), texts)
+    folder = f"shared-{uuid.uuid4().hex}"
+    with scope(folder):
+        found = settle(sets.dropDuplicates(["node"]), "similar-prefixes")
+    shared = _shared(found, folder)
+    with scope(folder):  # the rounds need no more than the shared shingles
+        clear(docs.sparkSession)
+    roots = _linked(*shared, texts, _simhash_links(texts) if simhash else None)
     rooted = firsts.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     best = rooted.groupBy("root").agg(F.min("first").alias("best"))
     named = rooted.join(best, "root").select("node", F.col("best.doc_id").alias("component_id"), F.col("best.node").alias("best_node"))
@@ -355,9 +391,9 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 
 
 def unique_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of every group of similar(), with the columns of ``docs``: the one with the smallest doc_id."""
+    """One document of every group of similar(), by SimHash and by shingle sets, with the columns of ``docs``: the one with the smallest doc_id."""
     # one shuffle by (text, id): a text's copies are spread by their ids, and repeated rows meet in the same place
-    kept = similar(docs, doc_id, text).where("keep").select(F.xxhash64("node", "doc_id").alias("pick"), F.col("node").alias("kept"))
+    kept = similar(docs, doc_id, text, simhash=True).where("keep").select(F.xxhash64("node", "doc_id").alias("pick"), F.col("node").alias("kept"))
     node = F.xxhash64(text_of(text))
     marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), node.alias("node"),
                          F.xxhash64(node, F.col(f"`{doc_id}`")).alias("picked"))

@@ -100,6 +100,29 @@ def test_unique_documents(spark, messy, empty):
     assert {r.doc_id for r in out} >= set(range(25))
 
 
+def test_unique_documents_link_by_simhash_too(spark):
+    """Long texts with scattered changes: their fingerprints are near while their sets of five-word shingles are not."""
+    rnd = random.Random(31)
+    sets = lambda t: {tuple(t[k:k + 5]) for k in range(len(t) - 4)}
+    found, rows = None, []
+    for at in range(300):
+        text = [f"s{at}_{k % 40}" for k in range(400)]  # forty words again and again
+        other = [w if rnd.random() > 0.02 else f"c{at}_{k}" for k, w in enumerate(text)]
+        a, b = " ".join(text), " ".join(other)
+        alike = len(sets(text) & sets(other)) / len(sets(text) | sets(other))
+        if alike < 0.6 and (plain_fingerprint(a) ^ plain_fingerprint(b)).bit_count() <= 3:
+            found = (a, b)
+            break
+    assert found
+    third = found[1].split()
+    third[-1] = "last"
+    rows = [(5, found[0]), (6, found[1]), (7, " ".join(third)), (8, " ".join(f"alone{k}" for k in range(60)))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in simhash.unique_documents(frame).collect()} == {5, 8}
+    # without fingerprints only the sets of 6 and 7 are near
+    assert {r.doc_id: r.component_id for r in simhash.similar(frame).collect()} == {5: 5, 6: 6, 7: 6, 8: 8}
+
+
 def changed(words, places, name):
     return " ".join(f"{name}{k}" if k in places else w for k, w in enumerate(words))
 
