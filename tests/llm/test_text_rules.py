@@ -200,5 +200,42 @@ def test_language_model_probabilities_sum_to_one(spark, messy, monkeypatch):
         assert language_model.chances(model, np.full(n, context), np.arange(n)).sum() == pytest.approx(1)
 
 
+def test_language_model_learns_pairs_of_words_that_are_no_symbols(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "SYMBOLS", 2)
+    rnd = random.Random(14)
+    follows = {w: rnd.sample("abcdefghij", 2) for w in "abcdefghij"}
+    rows = []
+    for i in range(200):
+        words = ["a"]
+        while len(words) < 40:
+            words.append(rnd.choice(follows[words[-1]]))
+        rows.append((i, " ".join(words)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    out = language_model.held_out_scores(frame).where("held_out").collect()
+    assert out and 10 ** (-sum(r.score for r in out) / sum(r.n_tokens for r in out)) < 2.5
+    # copies of a text score as the text does
+    train = frame.where("doc_id < 100")
+    twice = language_model.scored(frame.union(frame.where("doc_id < 20")), train).collect()
+    assert len(twice) == 220 and all(len({round(r.score, 9) for r in twice if r.doc_id == i}) == 1 for i in range(20))
+
+
+def test_language_model_probabilities_of_all_words_sum_to_one(spark, messy, monkeypatch):
+    monkeypatch.setattr(language_model, "SYMBOLS", 6)
+    import numpy as np
+    model, tables, unknown = language_model.learned(messy.select(F.coalesce("text", F.lit("")).alias("text")))
+    hashed = lambda w: np.array([language_model.xxhash.xxh64_intdigest(w, 42) if w else 0], dtype=np.uint64)
+    lifts = {r.key: r.lift for part in tables.lifts for r in part.collect()}
+    others = {bytes(r.word): r for r in tables.others.collect()}
+    symbols = {b"": 0, **model.symbols}
+    chance = lambda c, s: float(language_model.chances(model, np.array([c]), np.array([s]))[0])
+    assert len(others) > 20 and len(lifts) > 100
+    for u in [*symbols, *others]:
+        c, left = symbols.get(u, 1), 10 ** model.turned[symbols[u]] if u in symbols else others[u].left
+        lifted = lambda w: 10 ** lifts.get(int(language_model.pair_keys(hashed(u), hashed(w)).view(np.int64)[0]), 0.0)  # noqa: B023, E731
+        of_others = sum(others[w].p * lifted(w) for w in others) + unknown
+        some = sum(chance(c, s) * (1.0 if u in symbols else lifted(w) * left) for w, s in symbols.items())
+        assert some + chance(c, 1) * left * of_others == pytest.approx(1), u
+
+
 def test_language_model_of_nothing(empty):
     assert language_model.held_out_scores(empty).count() == 0
