@@ -12,6 +12,7 @@ large group of near copies) is not joined with itself: its members meet at hubs,
 from __future__ import annotations
 
 import functools
+import itertools
 import math
 import uuid
 
@@ -39,8 +40,9 @@ SHINGLE, SIMILARITY, LANES = 5, 0.8, 8
 SAMPLE, FREQUENT, MOST_FREQUENT = 20_000, 8, 200_000
 #: Centres of a bucket in the first round after the stars, and by how much they grow each round; parts of a large bucket.
 CENTRES, GROWTH, PARTS = 64, 4, 16
-#: Parts in which the pairs of a round are compared, so that no more than such a part of them is on disk with its sets.
-VERIFIED_IN = 4
+#: A pair takes a set along to be compared, so more than so many pairs are compared in parts: by PARTED parts of their first
+#: texts and as many of their second ones, or by more, until a part has that many pairs or half as many as there are texts.
+AT_ONCE, PARTED = 25_000, 3
 #: Hashes of texts that are broadcast, at most: 8 MB of them.
 BROADCAST_NODES = 1_000_000
 
@@ -252,16 +254,26 @@ def _frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of ``pairs`` whose shingle sets have the least similarity."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = settle(wanted, "similar-wanted")
-    # where few texts are compared, the others need not be shuffled to find them
-    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_NODES else wanted
-    sets = settle(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]).select("node", shingle_set(F.col("text")).alias("set")), "similar-sets")
-    parts = []
-    for part in range(VERIFIED_IN):  # a pair takes a set along, so a part of them at a time, at any size of the table
-        some = pairs.where(F.pmod(F.xxhash64("a"), F.lit(VERIFIED_IN)) == part)
-        both = some.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
+    folder, parts = f"sets-{uuid.uuid4().hex}", []
+    with scope(folder):
+        wanted = settle(wanted, "similar-wanted")
+        count, number = wanted.count(), pairs.count()
+        # where few texts are compared, the others need not be shuffled to find them
+        wanted = F.broadcast(wanted) if count <= BROADCAST_NODES else wanted
+        sets = settle(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]).select("node", shingle_set(F.col("text")).alias("set")), "similar-sets")
+    side = 1 if number <= AT_ONCE else max(PARTED, math.ceil(math.sqrt(number / max(AT_ONCE, count // 2))))
+
+    def part_of(node: str) -> Column:
+        return F.pmod(F.xxhash64(node, F.lit(SEED)), F.lit(side))
+
+    for i, j in itertools.product(range(side), repeat=2):  # so no more than a part of the sets and pairs is shuffled at a time
+        some = pairs.where((part_of("a") == i) & (part_of("b") == j))
+        x, y = sets.where(part_of("node") == i).toDF("a", "x"), sets.where(part_of("node") == j).toDF("b", "y")
+        both = some.join(x, "a").join(y, "b")
         counted = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("n"), (F.size("x") + F.size("y")).alias("sum"))
         parts.append(settle(counted.where(F.col("n") >= SIMILARITY * (F.col("sum") - F.col("n"))).select("a", "b"), "similar-links"))
+    with scope(folder):  # the sets are the largest part of a round
+        clear(texts.sparkSession)
     return functools.reduce(DataFrame.union, parts)
 
 

@@ -2,6 +2,7 @@
 
 import collections
 import itertools
+import pathlib
 import random
 import zlib
 
@@ -162,6 +163,23 @@ def test_similar_equals_brute_force(spark, monkeypatch, centres):
     assert out == want and 1 < len(set(want.values())) < 150
 
 
+def test_pairs_are_compared_in_parts_and_their_sets_go(spark, monkeypatch):
+    from icelens import session
+    rnd = random.Random(15)
+    line = [f"l{k}" for k in range(20)]
+    texts = {i: " ".join(line + [f"{rnd.choice('ab')}{k}" for k in range(rnd.choice([4, 5, 6]))]) for i in range(40)}
+    shingles = {i: {tuple(t.split()[k:k + 5]) for k in range(len(t.split()) - 4)} for i, t in texts.items()}
+    pairs = list(itertools.combinations(texts, 2))
+    want = sorted((a, b) for a, b in pairs if len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b]))
+    frames = spark.createDataFrame(pairs, "a long, b long"), spark.createDataFrame(list(texts.items()), "node long, text string")
+    for at_once, least in ((10_000, 1), (50, 9)):
+        monkeypatch.setattr(simhash, "AT_ONCE", at_once)
+        with session.scope(f"compared-{at_once}"):
+            assert sorted(map(tuple, simhash._verified(*frames).collect())) == want and 0 < len(want) < len(pairs)
+            left = [p.name for p in pathlib.Path(session.shared_folder(spark)).rglob("similar-*")]
+        assert len(left) >= least and all(name.startswith("similar-links") for name in left)
+
+
 def test_decontamination_finds_substituted_passages(spark, messy, empty):
     rnd = random.Random(11)
     items = [(i, prose(rnd, 30, [f"w{k}" for k in range(500)])) for i in range(6)] + [(6, "just seven short words stand right here"), (7, "too short"), (None, None)]
