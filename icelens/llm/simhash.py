@@ -33,11 +33,13 @@ HALF = 32
 SMALL_BUCKET = 64
 #: Words of a shingle of a fingerprint.
 FINGERPRINT_SHINGLE = 3
-#: For similar(): words of a shingle of its sets, the least Jaccard similarity of shingle sets, and 64-bit lanes of a set's bit map.
+#: For similar(): words of a shingle of its sets, the least Jaccard similarity of shingle sets, and 64-bit lanes of a small set's bit map
+#: (those of a larger one: the power of two that has two bits a shingle, or the next).
 SHINGLE, SIMILARITY, LANES = 5, 0.8, 8
-#: Texts whose shingles are counted to tell frequent ones, how often is frequent, and the most of them kept. Any order of
-#: shingles gives the same groups; with the frequent ones last, fewer pairs are tried.
-SAMPLE, FREQUENT, MOST_FREQUENT = 20_000, 8, 200_000
+#: Of so many times the shingles that a prefix has, those with the lowest hashes, the frequent ones are told by a count over
+#: all texts; how often is frequent, and the most of them kept. Any order of shingles gives the same groups; with the
+#: frequent ones last, fewer pairs are tried.
+LOWEST, FREQUENT, MOST_FREQUENT = 2, 8, 200_000
 #: Centres of a bucket in the first round after the stars, and by how much they grow each round; parts of a large bucket.
 CENTRES, GROWTH, PARTS = 64, 4, 16
 #: A pair takes a set along to be compared, so more than so many pairs are compared in parts: by PARTED parts of their first
@@ -219,36 +221,75 @@ def shingle_set(text: Column) -> Column:
         lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(SHINGLE)]))))[0]
 
 
-def _prefixes(order: np.ndarray, counts: np.ndarray):
-    """A function of frames (node, set): (node, size, bits, prefix). ``order``: frequent shingles by value, ``counts``: how often.
+def _prefix_size(size: int) -> int:
+    """How many shingles of a set, in any common order, hold one of every other set of the least similarity.
 
-    Two sets of the least similarity share at least that part of the larger one, so in any common order of shingles both
-    have a shingle in common among their first size - part + 1; those are the prefix. An empty set's prefix is zero.
-    """
+    Two such sets share at least that part of the larger one, so both have a shingle in common among their first size -
+    part + 1; those are the prefix."""
+    return size - math.ceil(SIMILARITY * size - 1e-9) + 1 if size else 0
+
+
+def _lowest(frames):
+    """Frames (node, size, bits, low) from frames (node, set). low: a set's lowest shingles in their order, LOWEST prefixes long."""
     def one(item) -> tuple:
         h = np.sort(np.asarray(item, dtype=np.int64))
+        bits = np.zeros(max(64 * LANES, 1 << (2 * len(h) - 1).bit_length() if len(h) else 0), dtype=np.uint8)
+        bits[h.view(np.uint64) % np.uint64(len(bits))] = 1
+        return len(h), np.packbits(bits).view("<i8"), h[:LOWEST * _prefix_size(len(h))]
+
+    for frame in frames:
+        done = pd.DataFrame([one(item) for item in frame["set"]], columns=["size", "bits", "low"])
+        yield done.assign(node=frame["node"].to_numpy())[["node", "size", "bits", "low"]]
+
+
+def _prefixes(order: np.ndarray, counts: np.ndarray, column: str):
+    """A function of frames (node, size, ``column``): (node, prefix). ``order``: frequent shingles by value, ``counts``: how often.
+
+    Shingles are ordered by their count if they are frequent, else before all of those, then by hash. ``column`` has the whole
+    set or its lowest shingles; where those do not tell the prefix, it is null. An empty set's prefix is zero."""
+    def one(size: int, item) -> np.ndarray | None:
+        if not size:
+            return np.zeros(1, dtype=np.int64)
+        h = np.sort(np.asarray(item, dtype=np.int64))
+        often = np.zeros(len(h), dtype=np.int64)
         if len(order):
             at = np.minimum(np.searchsorted(order, h), len(order) - 1)
-            h = h[np.argsort(np.where(order[at] == h, counts[at], 0), kind="stable")]
-        first = h[:len(h) - math.ceil(SIMILARITY * len(h) - 1e-9) + 1] if len(h) else np.zeros(1, dtype=np.int64)
-        bits = np.zeros(64 * LANES, dtype=np.uint8)
-        bits[h.view(np.uint64) % np.uint64(64 * LANES)] = 1
-        return len(h), np.packbits(bits).view("<i8"), first
+            often = np.where(order[at] == h, counts[at], 0)
+        wanted = _prefix_size(size)
+        if len(h) < size and np.count_nonzero(often == 0) < wanted:
+            return None
+        return h[np.argsort(often, kind="stable")][:wanted]
 
     def of(frames):
         for frame in frames:
-            done = pd.DataFrame([one(item) for item in frame["set"]], columns=["size", "bits", "prefix"])
-            yield done.assign(node=frame["node"].to_numpy())[["node", "size", "bits", "prefix"]]
+            yield pd.DataFrame({"node": frame["node"], "prefix": [one(*row) for row in zip(frame["size"], frame[column])]})
     return of
 
 
-def _frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The frequent shingles of a sample of ``texts`` (node, text) in the order of their hashes, and their counts."""
-    share = min(1.0, SAMPLE / max(1, texts.count()))
-    some = texts.where(F.pmod(F.xxhash64("node"), F.lit(1_000_000)) < int(share * 1_000_000))
-    found = (some.select(F.explode(shingle_set(F.col("text"))).alias("s")).groupBy("s").agg(F.count("*").cast("int").alias("n"))
-             .where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "s").limit(MOST_FREQUENT).toPandas().sort_values("s"))
-    return found["s"].to_numpy(dtype=np.int64), found["n"].to_numpy(dtype=np.int64)
+def _sets_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, set) of the ``wanted`` (node) among ``texts`` (node, text), once each."""
+    # where few texts are wanted, the others need not be shuffled to find them
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_NODES else wanted
+    return texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]).select("node", shingle_set(F.col("text")).alias("set"))
+
+
+def _found(texts: DataFrame, folder: str) -> DataFrame:
+    """(node, size, bits, prefix) of ``texts`` (node, text), one row a node. What the result does not need is settled in the scope ``folder``.
+
+    The frequent shingles come from a count over all texts: were they told from a sample of a fixed size, a shingle just below
+    the limit would be that of more texts the more there are, and its pairs would grow with the square of that."""
+    with scope(folder):
+        sets = texts.select("node", shingle_set(F.col("text")).alias("set")).mapInPandas(
+            _lowest, "node long, size int, bits array<long>, low array<long>")
+        cut = settle(sets.dropDuplicates(["node"]), "similar-lowest")
+        often = settle(cut.select(F.explode("low").alias("s")).groupBy("s").agg(F.count("*").cast("int").alias("n"))
+                       .where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "s").limit(MOST_FREQUENT), "similar-frequent").toPandas().sort_values("s")
+        order = often["s"].to_numpy(dtype=np.int64), often["n"].to_numpy(dtype=np.int64)
+        prefixes = settle(cut.select("node", "size", "low").mapInPandas(_prefixes(*order, "low"), "node long, prefix array<long>"), "similar-told")
+        # texts that are frequent shingles for the most part: their whole sets are ordered
+        rest = settle(_sets_of(texts, prefixes.where("prefix is null").select("node")).select("node", F.size("set").alias("size"), "set")
+                      .mapInPandas(_prefixes(*order, "set"), "node long, prefix array<long>"), "similar-rest")
+        return settle(cut.drop("low").join(prefixes.where("prefix is not null").union(rest), "node"), "similar-prefixes")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -258,9 +299,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     with scope(folder):
         wanted = settle(wanted, "similar-wanted")
         count, number = wanted.count(), pairs.count()
-        # where few texts are compared, the others need not be shuffled to find them
-        wanted = F.broadcast(wanted) if count <= BROADCAST_NODES else wanted
-        sets = settle(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]).select("node", shingle_set(F.col("text")).alias("set")), "similar-sets")
+        sets = settle(_sets_of(texts, wanted), "similar-sets")
     side = 1 if number <= AT_ONCE else max(PARTED, math.ceil(math.sqrt(number / max(AT_ONCE, count // 2))))
 
     def part_of(node: str) -> Column:
@@ -319,6 +358,22 @@ def _simhash_links(texts: DataFrame) -> DataFrame:
     return known
 
 
+def _may_be_similar(x: str, y: str) -> Column:
+    """False only where the sets of the structs ``x`` and ``y`` (size, bits) do not have the least similarity.
+
+    Where sizes allow it at all, one bit map is as long as the other or twice as long; its halves are then laid on each other."""
+    def folded(u: str, v: str) -> Column:
+        bits, n = F.col(f"{u}.bits"), F.size(f"{v}.bits")
+        return F.when(F.size(bits) <= n, bits).otherwise(F.zip_with(F.slice(bits, F.lit(1), n), F.slice(bits, n + 1, n), lambda p, q: p.bitwiseOR(q)))
+
+    def only(u: str, v: str) -> Column:  # at least so many shingles are not in the other set
+        return F.aggregate(F.zip_with(folded(u, v), folded(v, u), lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))), F.lit(0), lambda s, d: s + d)
+
+    u, v = F.col(f"{x}.size"), F.col(f"{y}.size")
+    enough = SIMILARITY * F.greatest(u, v) - 1e-9
+    return F.when(F.least(u, v) < enough, False).otherwise(F.least(u - only(x, y), v - only(y, x)) >= enough)
+
+
 def _linked(rows: DataFrame, facts: DataFrame, texts: DataFrame, links: DataFrame | None = None) -> DataFrame:
     """(node, root) for the nodes of ``rows`` (token, node, n) that are linked to another of the same token, or by ``links``.
 
@@ -346,10 +401,7 @@ def _linked(rows: DataFrame, facts: DataFrame, texts: DataFrame, links: DataFram
             pairs = tried.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
             x, y = (facts.select(F.col("node").alias(k), F.struct("size", "bits").alias(v)) for k, v in (("a", "x"), ("b", "y")))
 
-            def only(u: str, v: str) -> Column:  # at least so many shingles are not in the other set
-                return F.aggregate(F.zip_with(f"{u}.bits", f"{v}.bits", lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))), F.lit(0), lambda s, d: s + d)
-            least, largest = F.least(F.col("x.size") - only("x", "y"), F.col("y.size") - only("y", "x")), F.greatest("x.size", "y.size")
-            pairs = settle(pairs.join(x, "a").join(y, "b").where(least >= SIMILARITY * largest - 1e-9).select("a", "b"), "similar-pairs")
+            pairs = settle(pairs.join(x, "a").join(y, "b").where(_may_be_similar("x", "y")).select("a", "b"), "similar-pairs")
             new = _verified(pairs, texts)
             links = new if links is None else settle(links.union(new), "similar-all-links")
             roots = settle(components(links), "similar-roots")
@@ -385,13 +437,8 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", simhash
     firsts = settle(marked.groupBy("node").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("first")), "similar-firsts")
     texts = docs.select(F.xxhash64(text_of(text)).alias("node"), text_of(text).alias("text"))
-    frequent = _frequent(texts)
-    sets = texts.select("node", shingle_set(F.col("text")).alias("set")).mapInPandas(
-        _prefixes(*frequent), "node long, size int, bits array<long>, prefix array<long>")
     folder = f"shared-{uuid.uuid4().hex}"
-    with scope(folder):
-        found = settle(sets.dropDuplicates(["node"]), "similar-prefixes")
-    shared = _shared(found, folder)
+    shared = _shared(_found(texts, folder), folder)
     with scope(folder):  # the rounds need no more than the shared shingles
         clear(docs.sparkSession)
     roots = _linked(*shared, texts, _simhash_links(texts) if simhash else None)

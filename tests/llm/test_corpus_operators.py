@@ -163,6 +163,39 @@ def test_similar_equals_brute_force(spark, monkeypatch, centres):
     assert out == want and 1 < len(set(want.values())) < 150
 
 
+def test_frequent_shingles_of_all_texts_come_last(spark):
+    rnd = random.Random(17)
+    passage = [f"p{k}" for k in range(40)]
+    own = [[f"{i}_{k}" for k in range(60)] for i in range(30)]
+    alike = {i: " ".join([f"c{i}"] + passage + [rnd.choice("ab")]) for i in range(100, 120)}  # frequent for the most part
+    texts = {i: " ".join(words[:30] + passage + words[30:]) for i, words in enumerate(own)} | alike
+    frame = spark.createDataFrame(list(texts.items()), "node long, text string")
+    found = {r.node: r for r in simhash._found(frame.union(frame), "frequent").collect()}
+    counts = collections.Counter(s for r in found.values() for s in r.prefix)
+    assert sorted(found) == sorted(texts) and all(len(r.prefix) == simhash._prefix_size(r.size) for r in found.values())
+    assert {counts[s] for i in range(30) for s in found[i].prefix} == {1}  # the passage brings no two of them together
+    assert max(counts[s] for i in alike for s in found[i].prefix) > 1
+
+
+def test_bit_maps_tell_large_sets_apart_and_drop_no_similar_pair(spark):
+    rnd = random.Random(19)
+    texts, size = {}, [200, 256, 257, 300, 512, 520, 640, 1500]
+    for n, most in enumerate(size):
+        for k, kept in enumerate((1.0, 0.98, 0.9, 0.82, 0.5)):
+            words = [f"w{n}_{j}" for j in range(int(most * kept))]
+            for at in rnd.sample(range(len(words)), int(k == 2) + int(k == 3) * 2):
+                words[at] = f"x{k}_{at}"
+            texts[10 * n + k] = " ".join(words + [f"y{n}_{k}_{j}" for j in range(most - len(words) if k == 4 else 0)])
+    shingles = {i: {tuple(t.split()[k:k + 5]) for k in range(len(t.split()) - 4)} for i, t in texts.items()}
+    frame = spark.createDataFrame(list(texts.items()), "node long, text string")
+    facts = simhash._found(frame, "maps").select("node", F.struct("size", "bits").alias("f"))
+    both = facts.toDF("a", "x").join(facts.toDF("b", "y"), F.col("a") < F.col("b"))
+    passed = {(r.a, r.b) for r in both.where(simhash._may_be_similar("x", "y")).collect()}
+    share = {p: len(shingles[p[0]] & shingles[p[1]]) / len(shingles[p[0]] | shingles[p[1]]) for p in itertools.combinations(sorted(texts), 2)}
+    assert {p for p, j in share.items() if j >= 0.8} <= passed and not {p for p, j in share.items() if j < 0.4} & passed
+    assert any(j >= 0.8 and len(shingles[p[0]]) > 512 >= len(shingles[p[1]]) for p, j in share.items())
+
+
 def test_pairs_are_compared_in_parts_and_their_sets_go(spark, monkeypatch):
     from icelens import session
     rnd = random.Random(15)
