@@ -8,6 +8,7 @@ import re
 import zlib
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from icelens.llm import language, language_model, piece_counts, quality, secret_scan
@@ -177,6 +178,18 @@ def test_language_model_base_and_gain(spark, messy, monkeypatch, common):
     assert {r.train_tokens for r in out} == {n} and all(r.score < 0 for r in out)
 
 
+def test_language_model_tasks_hold_a_bounded_number_of_words(spark, monkeypatch):
+    known = language_model.Hashes()
+    for k in range(250_000):
+        known[b"w%d" % k]
+    assert len(known) <= 200_000
+    assert known[b"w1"] == xxhash.xxh64_intdigest(b"w1", 42)
+    monkeypatch.setattr(language_model, "WORDS_HELD", 7)
+    texts = spark.createDataFrame([(f"a w{k} b w{k % 5}",) for k in range(40)], "text string").coalesce(1)
+    counts = {bytes(r.word): r.c for r in language_model.word_counts(texts).collect()}
+    assert counts == {b"a": 40, b"b": 40} | {b"w%d" % k: 1 + 8 * (k < 5) for k in range(40)}
+
+
 def test_language_model_learns_contexts(spark):
     rnd = random.Random(13)
     follows = {w: rnd.sample("abcdefghij", 2) for w in "abcdefghij"}
