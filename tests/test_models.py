@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from icelens.config import DEFAULT_RULES
-from icelens.operators import folds, ridge, value, xg
+from icelens.catalog.registry import models
+from icelens.operators import boosting, folds, ridge, value, xg
 
 ROWS = """season string, game_id long, period int, start_sec int, off_team string, duration int, off_skaters array<long>,
  def_skaters array<long>, xg_for double, off_home int"""
@@ -165,3 +166,58 @@ def test_folds_of_a_handful_of_groups_leave_the_rows_in_place(spark):
 def test_categories_are_indexed_in_one_pass():
     stages = xg._pipeline({"maxDepth": 2}).getStages()
     assert len(stages) == 3 and list(stages[0].getInputCols()) == list(xg.CATEGORIES)
+
+
+def shot_rows(spark, n=900, seed=4):
+    """Prepared shots with few distinct values, whose bins do not depend on how quantiles are found."""
+    rnd = random.Random(seed)
+    rows = [(f"20{10 + i % 3}-x", i, rnd.randint(0, 30), rnd.choice([None, 1, 2, 8]), rnd.randint(-3, 3),
+             rnd.choice(["wrist", "slap", "snap"] + ["tip"] * (i % 3 == 1)), rnd.choice(["faceoff", "hit", "none"]), rnd.randint(0, 1)) for i in range(n)]
+    table = spark.createDataFrame([(*r, int(rnd.random() < 0.1 + 0.6 * (r[2] < 9) + 0.2 * (r[5] == "slap"))) for r in rows],
+                                  "season string, seq long, distance int, shot_speed int, score_state int, shot_type string, prior_event_type string, off_wing int, goal int")
+    for c in [*xg.NUMERIC, *xg.CATEGORIES]:
+        if c not in table.columns:
+            table = table.withColumn(c, F.lit(None).cast("string" if c in xg.CATEGORIES else "double"))
+    return folds.group_folds(xg.prepared(table), "season", 3, few=True).localCheckpoint()
+
+
+def test_trees_grown_in_a_task_are_those_of_mllib(spark):
+    rows, params = shot_rows(spark), {"maxDepth": 3, "stepSize": 0.1, "maxIter": 12}
+    ours, theirs = ({r["seq"]: r["xg"] for r in found.collect()} for found in (
+        xg.out_of_fold(rows, params, ["seq"]), xg._out_of_fold_by_jobs(rows, [0, 1, 2], params, ["seq"])))
+    assert len(ours) == 900 and ours == pytest.approx(theirs, abs=1e-9)
+
+
+def test_a_search_side_by_side_finds_what_one_by_jobs_finds(spark):
+    rows = shot_rows(spark).drop("fold")
+    grid = ({"maxDepth": 1, "stepSize": 0.1, "maxIter": 2}, {"maxDepth": 3, "stepSize": 0.1, "maxIter": 6})
+    ours, theirs = xg.grid_search(rows, grid, 5)[1], xg._search_by_jobs(rows, grid, 5, 2)[1]
+    assert ours["params"] == theirs["params"] and ours["n_rows"] == theirs["n_rows"] == 900
+    assert [c["auc"] for c in ours["candidates"]] == pytest.approx([c["auc"] for c in theirs["candidates"]], abs=1e-9)
+    assert ours["calibration"] == pytest.approx(theirs["calibration"], abs=1e-9)
+
+
+def test_bins_follow_the_quantiles_and_saved_trees_score_alike():
+    rnd = np.random.default_rng(3)
+    x = rnd.normal(size=5_000)
+    splits = boosting.thresholds(list(np.quantile(x, np.linspace(0, 1, 501))))
+    assert len(splits) == boosting.BINS - 1 and np.bincount(np.searchsorted(splits, x)).max() < 150
+    bins = boosting.Binning([splits, np.array([0.5])], [["a", "b"]])
+    columns = [x, rnd.integers(0, 2, 5_000).astype(float), rnd.choice(["a", "b", "new"], 5_000)]
+    trees = boosting.grow(bins, bins.codes(columns), (x > 0).astype(np.uint8), maxDepth=2, stepSize=0.1, maxIter=5)
+    again = boosting.Trees.from_bytes(trees.to_bytes())
+    assert np.array_equal(trees.probability(columns), again.probability(columns))
+    assert trees.probability(columns)[x > 0.1].min() > trees.probability(columns)[x < -0.1].max()
+
+
+def test_registered_models_search_the_grids_of_the_library():
+    for name in ("xg_grid", "xg_grid_high_volume", "high_volume", "xg_folds", "min_rows_per_strength", "alphas", "alphas_special", "ridge_folds"):
+        assert getattr(models.RULES, name) == getattr(DEFAULT_RULES, name)
+
+
+def test_folds_of_counts_are_those_of_rows(spark):
+    counts = {"b": 5, "a": 5, None: 5, "c": 9, "d": 1, "e": 2, "f": 2}
+    rows = spark.createDataFrame([(s,) for s, n in counts.items() for _ in range(n)], "season string")
+    for k in (2, 3, 5, 9):
+        got = {r["season"]: r["fold"] for r in folds.group_folds(rows, "season", k).distinct().collect()}
+        assert got == folds.dealt(counts, k)
