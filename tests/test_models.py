@@ -221,3 +221,17 @@ def test_folds_of_counts_are_those_of_rows(spark):
     for k in (2, 3, 5, 9):
         got = {r["season"]: r["fold"] for r in folds.group_folds(rows, "season", k).distinct().collect()}
         assert got == folds.dealt(counts, k)
+
+
+def test_shots_are_routed_with_any_number_of_models(spark):
+    names = [f"{a}v{b}" for a in range(1, 7) for b in range(1, 7) if (a, b) != (5, 4)] + ["EN_for", "EN_against"]
+    table = shot_rows(spark, 60).select("seq", "goal", *xg.NUMERIC, *xg.CATEGORIES).withColumn(
+        "strength", F.element_at(F.lit(["5v4", "3v3", "9v1", "odd", None]), (F.col("seq") % 5 + 1).cast("int")))
+    bins = boosting.Binning([np.array([])] * len(xg.NUMBERS), [["wrist"]] * len(xg.CATEGORIES))
+
+    def model(n):  # one tree whose leaf tells the model
+        return boosting.Trees(bins, np.zeros((1, 1), dtype=np.uint16), np.ones((1, 1, bins.width), dtype=bool), np.array([[n / 100, 0.0]])), {}
+    found = xg.score(table, {s: model(n + 1) for n, s in enumerate(names)}, ["strength"]).distinct()
+    assert "Code grows" not in (plan := found._jdf.queryExecution().toString()) and len(plan) < 100_000
+    got = {r["strength"]: names[round(-np.log(1 / r["xg"] - 1) / 2 * 100) - 1] for r in found.collect()}
+    assert got == {"5v4": "4v3", "3v3": "3v3", "9v1": "5v3", "odd": "5v5", None: "5v5"}
