@@ -1,9 +1,11 @@
 """Ridge against a closed form, the expected-goals model against sanity bounds."""
 
 import dataclasses
+import os
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -235,3 +237,29 @@ def test_shots_are_routed_with_any_number_of_models(spark):
     assert "Code grows" not in (plan := found._jdf.queryExecution().toString()) and len(plan) < 100_000
     got = {r["strength"]: names[round(-np.log(1 / r["xg"] - 1) / 2 * 100) - 1] for r in found.collect()}
     assert got == {"5v4": "4v3", "3v3": "3v3", "9v1": "5v3", "odd": "5v5", None: "5v5"}
+
+
+def test_a_system_streams_through_files_in_pieces(spark, monkeypatch):
+    def never(*_):
+        raise AssertionError("by joins")
+    monkeypatch.setattr(ridge.wide_ridge, "fit_sums", never)
+    assert ridge.DENSE >= 1_000_000 and ridge.SUMS >= 20_000_000  # a league of half a million players, 17 million sums a season
+    rows = make_rows()
+    sums = ridge.gram(ridge.with_response(spark.createDataFrame(rows, ROWS), "xg_for"), ["season"], CONTEXT, 1, F.lit(0)).collect()
+    both = {(r["i"], r["j"]): r["g0"] for r in sums} | {(r["j"], r["i"]): r["g0"] for r in sums if r["i"] >= 0}
+    order = sorted(both, key=lambda p: (p[0] != ridge.INTERCEPT if p[0] < 0 else 2, p))
+    monkeypatch.setattr(ridge, "CHUNK", 5)
+    seen = []
+
+    def solve(part, stream):
+        features, train, test, base = stream.moments()
+        seen.append((part, stream.folder))
+        assert test.w == 0 and not test.times(np.ones(test.n)).any()
+        assert base[list(features).index(3)] == 0.25 and np.count_nonzero(base) == 1
+        return dict(zip(features, np.concatenate(train.solve((7.0,), 3.0, base))[:, 0]))
+    table = pa.table({"part": [4] * (len(order) + 2), "i": [ridge.PRIOR] * 2 + [p[0] for p in order], "j": [3, 999] + [p[1] for p in order],
+                      "all": [0.25, 9.0] + [both[p] for p in order], "test": [0.0] * (len(order) + 2)})
+    got, = ridge._systems(table.to_batches(max_chunksize=7), solve)
+    want, _ = closed_form(rows, 7.0, {3: 0.25})
+    assert got == pytest.approx(want, abs=1e-9)
+    assert seen[0][0] == 4 and not os.path.exists(seen[0][1])
